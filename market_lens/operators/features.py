@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from market_lens import vocab
-from market_lens.operators.aggregate import value_counts
 from market_lens.operators.prefix import attach, sum_before
 from market_lens.operators.quantile import quantiles
 from market_lens.schema import FEATURES
+from market_lens.sources.scratch import materialize
 
 MIN_FEATURES = 3
 MISSING_LABEL = "nan"
@@ -31,34 +31,57 @@ def _label(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(MISSING_LABEL))
 
 
-def fit_labels(df: DataFrame, col: str) -> DataFrame:
-    """``label, code, cnt``: codes 0..n-1 in code-point order; null is the text 'nan'.
+def _label_counts(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``column, label, cnt`` of all ``cols`` in one scan."""
+    cells = [F.struct(F.lit(c).alias("column"), _label(c).alias("label")) for c in cols]
+    return df.select(F.inline(F.array(*cells))).groupBy("column", "label").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+def fit_labels(df: DataFrame, cols: list[str]) -> DataFrame:
+    """``column, label, code, cnt``: per column codes 0..n-1 in code-point order; null is
+    the text 'nan'. A fit: the table is written once and read by every later use.
 
     The code is the number of smaller labels. It is counted by first character, then by
     first two, then among their like, so no task orders all labels.
     """
-    labels = df.groupBy(_label(col).alias("label")).agg(F.count(F.lit(1)).alias("cnt"))
+    labels = materialize(_label_counts(df, cols), "label_counts")
     keyed = labels.withColumns({"_one": F.lit(1), "_c1": F.substring("label", 1, 1), "_c2": F.substring("label", 1, 2)})
-    return sum_before(keyed, "_one", ["_c1", "_c2", "label"], out="code").select("label", F.col("code").cast("bigint"), "cnt")
+    coded = sum_before(keyed, "_one", ["_c1", "_c2", "label"], ["column"], "code")
+    return materialize(coded.select("column", "label", F.col("code").cast("bigint").alias("code"), "cnt"), "labels")
+
+
+def _usual_codes(df: DataFrame, cols: list[str], labels: DataFrame) -> dict[str, int]:
+    """Per column the code of the most frequent value of ``df`` (the smallest on a tie), or,
+    if the labels do not know it, of the most frequent label."""
+    top = Window.partitionBy("column").orderBy(F.desc("cnt"), "label")
+
+    def most_frequent(counts: DataFrame) -> DataFrame:
+        return counts.withColumn("_rank", F.row_number().over(top)).where("_rank = 1").drop("_rank")
+
+    cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("label")) for c in cols]
+    values = df.select(F.inline(F.array(*cells))).where("label is not null")
+    modes = most_frequent(values.groupBy("column", "label").agg(F.count(F.lit(1)).alias("cnt")))
+    known = modes.select("column", "label").join(labels.select("column", "label", "code"), ["column", "label"])
+    usual = {row["column"]: row["code"] for row in most_frequent(labels).select("column", "code").collect()}
+    return {**usual, **{row["column"]: row["code"] for row in known.select("column", "code").collect()}}
 
 
-def label_encode(df: DataFrame, cols: list[str], labels: dict[str, DataFrame] | None = None) -> DataFrame:
-    """Replace each text column by its label code, fitted on ``df`` unless ``labels`` are given.
+def label_encode(df: DataFrame, cols: list[str], labels: DataFrame | None = None, all_known: bool = False) -> DataFrame:
+    """Replace text columns by label codes, fitted on ``df`` unless ``labels`` are given.
 
     A value that the given labels do not know takes the code of the most frequent value of
-    ``df`` (the smallest on a tie), or, if that is unknown too, of the most frequent label.
+    ``df``, or, if that is unknown too, of the most frequent label. ``all_known`` saves the
+    scan for those where the labels were fitted on these rows.
     """
+    if not cols:
+        return df
+    usual = _usual_codes(df, cols, labels) if labels is not None and not all_known else {}
+    table = labels if labels is not None else fit_labels(df, cols)
     for c in cols:
-        table = (labels[c] if labels else fit_labels(df, c)).select("label", "code", "cnt")
-        codes = table.select(F.col("label").alias("_label"), F.col("code").alias("_code"))
-        code = F.col("_code")
+        codes = table.where(F.col("column") == c).select(F.col("label").alias("_label"), F.col("code").alias("_code"))
+        code = F.coalesce("_code", F.lit(usual[c]).cast("bigint")) if usual else F.col("_code")
         joined = df.join(codes, _label(c) == F.col("_label"), "left")
-        if labels:
-            mode = value_counts(df, c, 1).join(codes, F.col("key") == F.col("_label")).select("_code").scalar()
-            usual = table.orderBy(F.desc("cnt"), "label").limit(1).select("code").scalar()
-            code = F.coalesce(code, mode, usual)
-        joined = joined.withColumn("_new", code)
-        df = joined.select(*[(F.col("_new") if x == c else F.col(x)).alias(x) for x in df.columns])
+        df = joined.select(*[(code if x == c else F.col(x)).alias(x) for x in df.columns])
     return df
 
 

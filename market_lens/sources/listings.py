@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from market_lens import vocab
 from market_lens.functions.columns import to_number
@@ -28,8 +29,10 @@ def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool =
 
 
 def na_tokens_to_null(df: DataFrame, tokens: list[str] = vocab.NA_TOKENS) -> DataFrame:
-    """Turn cells that spell a missing value into nulls."""
-    return df.select(*[F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")).alias(c) for c in df.columns])
+    """Turn text cells that spell a missing value into nulls."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
+    cells = {c: F.when(~F.col(f"`{c}`").isin(tokens), F.col(f"`{c}`")) if c in text else F.col(f"`{c}`") for c in df.columns}
+    return df.select(*[cell.alias(c) for c, cell in cells.items()])
 
 
 def type_listings(raw: DataFrame, ref_year: int = vocab.REFERENCE_YEAR) -> DataFrame:

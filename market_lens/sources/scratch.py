@@ -1,4 +1,4 @@
-"""Shared storage for checkpoints and written intermediate tables."""
+"""Shared storage for written intermediate tables."""
 
 from __future__ import annotations
 
@@ -32,13 +32,13 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and cut its lineage there.
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` to the shared folder once and read it from there.
 
-    For a table that an iterative job reads many times: a lost executor then costs a
-    re-read of its files, not a rerun of the plan behind them.
+    For a table that several jobs or an iterative fit read: a lost executor costs a
+    re-read of files, not a rerun of the plan behind them, and Spark knows the size of
+    what it reads, so it broadcasts a small table and shuffles a large one.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
