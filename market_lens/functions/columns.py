@@ -43,3 +43,17 @@ def to_number(c: ColumnOrName) -> Column:
 def round_half_even(c: ColumnOrName, digits: int = 1) -> Column:
     scale = 10.0**digits
     return F.rint(col(c) * scale) / scale
+
+
+def non_empty(c: ColumnOrName) -> Column:
+    """Null for the empty text. Names its argument once, so a long expression is not copied."""
+    return F.get(F.array_remove(F.array(col(c)), ""), F.lit(0))
+
+
+def evaluated_once(**columns: Column) -> Column:
+    """The columns as the output of a one-row generator, for use in a ``select``.
+
+    A later filter on a plain computed column is pushed below it together with a copy of
+    its expression, which is then evaluated twice. A generator's output is not copied.
+    """
+    return F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()])))

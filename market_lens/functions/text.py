@@ -2,19 +2,39 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from market_lens import vocab
-from market_lens.functions.columns import ColumnOrName, col, first_containing
+from market_lens.functions.columns import ColumnOrName, col, first_containing, non_empty
 
 # One run of characters other than white space, the full-width space included.
 _WORD = r"[^\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
 
 
+def _fixed_parts(pattern: str) -> list[str]:
+    """Texts that every match of ``pattern`` contains: what is left of it outside of groups,
+    character classes and what follows them."""
+    outside = re.sub(r"\([^()]*\)", "\0", re.sub(r"\[[^\]]*\][?+*]?", "\0", pattern))
+    return [part for part in outside.split("\0") if part]
+
+
+def _match(text: Column, pattern: str) -> Column:
+    """Group 1 of the first match. The cheap search for the fixed parts comes first: most
+    texts lack most fields, and then the regular expression is not run."""
+    match = F.regexp_extract(text, pattern, 1)
+    parts = _fixed_parts(pattern)
+    if not parts:
+        return match
+    return F.when(reduce(Column.__and__, [text.contains(part) for part in parts]), match)
+
+
 def first_number(text: ColumnOrName, pattern: str, default: float | None = None) -> Column:
     """Group 1 of the first match as a double; ``default`` when there is none or it is no number."""
-    hit = F.nullif(F.regexp_extract(col(text), pattern, 1), F.lit("")).try_cast("double")
+    hit = _match(col(text), pattern).try_cast("double")
     return hit if default is None else F.coalesce(hit, F.lit(float(default)))
 
 
@@ -23,13 +43,11 @@ def _first_of(text: ColumnOrName, patterns: list[str]) -> Column:
 
 
 def year(text: ColumnOrName) -> Column:
-    low, high = vocab.YEAR_RANGE
-
     def guarded(pattern: str) -> Column:
-        found = F.nullif(F.regexp_extract(col(text), pattern, 1), F.lit("")).try_cast("int")
-        return F.when(found.between(low, high), found)
+        found = first_number(text, pattern)
+        return F.when(found.between(*vocab.YEAR_RANGE), found)
 
-    return F.coalesce(*[guarded(p) for p in vocab.YEAR_PATTERNS])
+    return F.coalesce(*[guarded(p) for p in vocab.YEAR_PATTERNS]).cast("int")
 
 
 def mileage(text: ColumnOrName) -> Column:
@@ -49,7 +67,7 @@ def transmission(text: ColumnOrName) -> Column:
 
 def brand(title: ColumnOrName) -> Column:
     """First known brand in list order, else the first word, else the unknown label."""
-    word = F.nullif(F.regexp_extract(col(title), _WORD, 0), F.lit(""))
+    word = non_empty(F.regexp_extract(col(title), _WORD, 0))
     known = [(name, [name]) for name in vocab.BRANDS]
     return first_containing(title, known, F.coalesce(word, F.lit(vocab.UNKNOWN_BRAND)))
 

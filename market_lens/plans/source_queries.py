@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from market_lens import vocab
 from market_lens.functions import html as H
+from market_lens.functions.columns import evaluated_once
 from market_lens.operators import cards as K
 from market_lens.operators.charts import brand_distribution, export_chart_data
 from market_lens.plans import sql
@@ -123,8 +124,9 @@ def extract_cards_nested(spark, sf_dir):
     "as title from pages) where title is not null",
 )
 def extract_title(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", H.card_title("html", ["[carname]", "h4", "h1"]).alias("title"))
-    return pages.where(F.col("title").isNotNull())
+    pages = table(spark, sf_dir, "pages").select("page_id", H.strip_unseen("html").alias("html"))
+    titles = pages.select("page_id", evaluated_once(title=H.card_title("html", ["[carname]", "h4", "h1"])))
+    return titles.where(F.col("title").isNotNull())
 
 
 @query("extract_text", f"select page_id, {sql.flat_text('html')} as text from pages")
