@@ -25,7 +25,7 @@ def _dedup(relation: str) -> str:
 
 
 def _listings(spark, sf_dir):
-    return view(spark, sf_dir, "listings").select(*_COLUMNS)
+    return view(spark, sf_dir, "listings", spread=True).select(*_COLUMNS)
 
 
 @query("cln_dedup", _dedup("listings"))

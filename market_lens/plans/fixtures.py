@@ -138,15 +138,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    tables = {t: f"select * from parquet.`{sf_dir}/{t}.parquet`" for t in TABLES}
+def _reading(spark: SparkSession, sf_dir: str, name: str, spread: bool) -> str:
+    """SQL that reads a given table. ``spread`` deals out a fact table of fewer pieces than
+    there are cores; a large one already comes in enough pieces and is not shuffled."""
+    hint, cores = "", spark.sparkContext.defaultParallelism
+    if spread and name == "lineitem" and table(spark, sf_dir, name).rdd.getNumPartitions() < cores:
+        hint = f"/*+ REPARTITION({cores}) */ "
+    return f"select {hint}* from parquet.`{sf_dir}/{name}.parquet`"
+
+
+def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A view as a DataFrame. ``spread`` is for work that costs much more per row than reading it."""
+    needed = " ".join([name, *(VIEWS[v] for v in _needed(name))])
+    tables = {t: _reading(spark, sf_dir, t, spread) for t in TABLES if re.search(rf"\b{t}\b", needed)}
     return spark.sql(with_views(f"select * from {name}", "spark", tables))
 
 
 def listing_pages(spark: SparkSession, sf_dir: str, per_page: int = 2000) -> DataFrame:
     """Site pages made of ``listing_text``: all cards of a city in a block of keys, written in
     one of the four card markups and with the title in one of five places."""
-    cards = view(spark, sf_dir, "listing_text").withColumn("block", F.floor(F.col("listing_key") / per_page))
+    cards = view(spark, sf_dir, "listing_text", spread=True).withColumn("block", F.floor(F.col("listing_key") / per_page))
     escaped = F.replace(F.replace(F.col("title"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     place = F.col("listing_key") % 6
     title = (

@@ -24,7 +24,7 @@ def _function(name: str, source: str, columns: dict[str, Callable[[], Column]],
 
     @query(name, f"select listing_key, {wanted} from {source}")
     def run(spark, sf_dir) -> DataFrame:
-        return view(spark, sf_dir, source).select("listing_key", *[make().alias(out) for out, make in columns.items()])
+        return view(spark, sf_dir, source, spread=source.endswith("text")).select("listing_key", *[make().alias(out) for out, make in columns.items()])
 
 
 def _text(name: str, out: str, make: Callable[[], Column], check: str, source: str = "all_text") -> None:
@@ -94,7 +94,7 @@ _function(
     f"{sql.fuel('brand', 'title', strict=False)} as fuel_type_reordered from b",
 )
 def fuel_type(spark, sf_dir):
-    branded = view(spark, sf_dir, "all_text").select("listing_key", "title", X.brand("title").alias("brand"))
+    branded = view(spark, sf_dir, "all_text", spread=True).select("listing_key", "title", X.brand("title").alias("brand"))
     return branded.select(
         "listing_key",
         X.fuel_type("brand", "title").alias("fuel_type"),
@@ -124,7 +124,7 @@ def _cell(c: str, missing: str) -> str:
     "nullif(listing_key % 7, 0) as mileage_km from all_text)",
 )
 def preview_cells(spark, sf_dir):
-    df = view(spark, sf_dir, "all_text").select(
+    df = view(spark, sf_dir, "all_text", spread=True).select(
         "listing_key",
         "text",
         F.nullif(F.substring("text", 1, 1), F.lit("丰")).alias("color"),
@@ -136,9 +136,9 @@ def preview_cells(spark, sf_dir):
 
 @query("parse_listing", sql.parse("select listing_key, title, text, city_code from all_text", "listing_key"))
 def parse(spark, sf_dir):
-    return parse_listing(view(spark, sf_dir, "all_text"), ["listing_key"])
+    return parse_listing(view(spark, sf_dir, "all_text", spread=True), ["listing_key"])
 
 
 @query("parse_listing_strict", sql.parse("select listing_key, title, text, city_code from all_text", "listing_key", True))
 def parse_strict(spark, sf_dir):
-    return parse_listing(view(spark, sf_dir, "all_text"), ["listing_key"], strict=True)
+    return parse_listing(view(spark, sf_dir, "all_text", spread=True), ["listing_key"], strict=True)
