@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from market_lens.llm import piece_bpe, simhash
+from market_lens.llm import decontaminate, piece_bpe, simhash
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,39 @@ def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+OP4_SQL = r"""
+with d as (
+  select row_number() over () as r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from documents),
+b as (
+  select cast(item_id as varchar) as item,
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+  from benchmark),
+bl as (select item, w, least(len(w), 10) as l from b where len(w) > 0),
+bw as (
+  select distinct item, l, array_to_string(w[i:i + l - 1], ' ') as g
+  from (select item, w, l, unnest(range(1, len(w) - l + 2)) as i from bl)),
+ls as (select distinct l from bw),
+dw as (
+  select r, i, l, array_to_string(w[i:i + l - 1], ' ') as g
+  from (select r, w, l, unnest(range(1, len(w) - l + 2)) as i from d, ls where len(w) >= l)),
+h as (select dw.r, dw.i, dw.l, bw.item from dw join bw on dw.l = bw.l and dw.g = bw.g),
+hw as (select r, count(distinct p) as n_hit from (select r, unnest(range(i, i + l)) as p from h) group by r),
+hi as (select r, count(*) as n_items, string_agg(item, ',' order by item) as s from (select distinct r, item from h) group by r)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(s, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join hw using (r) left join hi using (r)
+"""
+
+
+@query("op4_decontamination", OP4_SQL)
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op7_simhash")
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
