@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from market_lens.llm import decontaminate, piece_bpe, simhash
+from market_lens.llm import chunk_dedup, decontaminate, piece_bpe, simhash
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,9 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_simhash")
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
+
+
+@query("op9_chunk_dedup")
+def chunk_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return chunk_dedup.cleaned(docs).select("doc_id", "n_passages", "n_cut", "kept_in", "clean_text")
