@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,7 +60,7 @@ def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
 
 def pieces(texts: pa.Array, most_bytes: int = 1 << 22) -> Iterator[pa.Array]:
     """Slices of an array of texts of about ``most_bytes`` each (one text at least)."""
-    sizes = np.cumsum(np.fromiter((v or 0 for v in pa.compute.binary_length(texts).to_pylist()), np.int64, len(texts)))
+    sizes = np.cumsum(np.fromiter((v or 0 for v in pc.binary_length(texts).to_pylist()), np.int64, len(texts)))
     start = 0
     while start < len(texts):
         before = sizes[start - 1] if start else 0

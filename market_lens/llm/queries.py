@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from market_lens.llm import chunk_dedup, decontaminate, piece_bpe, simhash
+import corpus_pipeline
+from market_lens.llm import chunk_dedup, decontaminate, lang_crf, piece_bpe, simhash
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,6 +65,11 @@ def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query("op5_language")
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lang_crf.predictions(table(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash")
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
@@ -73,3 +79,8 @@ def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chunk_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return chunk_dedup.cleaned(docs).select("doc_id", "n_passages", "n_cut", "kept_in", "clean_text")
+
+
+if corpus_pipeline.ORACLE_SQL is not None:
+    CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
+QUERIES["pipeline"] = corpus_pipeline.run
