@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from market_lens.llm import chunk_dedup, decontaminate, lang_crf, piece_bpe, simhash
+from market_lens.llm import chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, simhash
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +33,25 @@ def sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_bpe.round_trip(table(spark, sf_dir, "documents"), PIECE_MODEL)
 
 
+OP2_SQL = """
+with v as (
+  select vec_id, [floor(64 * cast(x as double)) for x in embedding] as v from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v, c.v) as bigint) as score
+  from v q join v c on q.vec_id % 20 = 0 and q.vec_id <> c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as n from s)
+select query_id, cast(n as integer) as rank, vec_id, score from r where n <= 20
+"""
+
+
+@query("op2_kd_topk", OP2_SQL)
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").where(kd_topk.usable(F.col("embedding")))
+    rows = rows.select("vec_id", kd_topk.quantized(F.col("embedding")).alias("embedding"))
+    return kd_topk.top_k(rows, rows.where("vec_id % 20 = 0"), k=20)
+
+
 OP4_SQL = r"""
 with d as (
   select row_number() over () as r, doc_id,
