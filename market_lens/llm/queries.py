@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from market_lens.llm import chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, simhash
+from market_lens.llm import chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, simhash, warc
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,26 @@ def language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_crf.predictions(table(spark, sf_dir, "documents"))
 
 
+OP6_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as h from pages),
+b as (select *, cast(cast(unhex(h) as bit) as varchar) as bits, min(page_id) over (partition by h) as first from p)
+select page_id, cast(strlen(html) as bigint) as payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + cast(
+    16 * cast(substr(bits, 5 * i + 1, 1) as int) + 8 * cast(substr(bits, 5 * i + 2, 1) as int)
+    + 4 * cast(substr(bits, 5 * i + 3, 1) as int) + 2 * cast(substr(bits, 5 * i + 4, 1) as int)
+    + cast(substr(bits, 5 * i + 5, 1) as int) as int), 1) for i in range(32)], '') as payload_digest,
+  case when page_id = first then 'response' else 'revisit' end as record_type,
+  case when page_id <> first then first end as refers_to
+from b
+"""
+
+
+@query("op6_warc", OP6_SQL)
+def warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), min_bytes=0)
+
+
 @query("op7_simhash")
 def simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, distance=3)
