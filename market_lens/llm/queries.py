@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from market_lens.llm import chat, chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, simhash, warc
+from market_lens.llm import chat, chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, quality, simhash, toxicity, warc
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,6 +52,11 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kd_topk.top_k(rows, rows.where("vec_id % 20 = 0"), k=20)
 
 
+@query("op3_toxicity")
+def toxic_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 OP4_SQL = r"""
 with d as (
   select row_number() over () as r, doc_id,
@@ -130,6 +135,11 @@ def chunk_deduplication(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunk_dedup.cleaned(docs).select("doc_id", "n_passages", "n_cut", "kept_in", "clean_text")
 
 
+@query("op10_quality")
+def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 if corpus_pipeline.ORACLE_SQL is not None:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
 QUERIES["pipeline"] = corpus_pipeline.run
