@@ -14,7 +14,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
@@ -102,7 +102,12 @@ def _digests(data: bytes, edges: np.ndarray) -> np.ndarray:
 
 
 def _thin(docs: DataFrame, id: str, text: str) -> DataFrame:
-    return docs.select(F.col(id).alias("doc_id"), F.xxhash64(text).alias("digest"), F.col(text).cast("binary").alias("text"))
+    return docs.select(F.col(id).alias("doc_id"), _digest(text).alias("digest"), F.col(text).cast("binary").alias("text"))
+
+
+def _digest(text: str) -> Column:
+    """Tells texts of one id apart."""
+    return F.hash(text)
 
 
 def windows(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
@@ -122,7 +127,7 @@ def windows(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int
             if held:
                 yield _rows(batch, owners, found)
 
-    return _thin(docs, id, text).mapInArrow(one, "doc_id long, digest long, place int, window long")
+    return _thin(docs, id, text).mapInArrow(one, "doc_id long, digest int, place int, window long")
 
 
 def _rows(batch: pa.RecordBatch, owners: list[int], found: list[np.ndarray]) -> pa.RecordBatch:
@@ -141,9 +146,11 @@ def repeated(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int
     the document that holds it.
     """
     found = materialize(windows(docs, id, text, reach), "chunk_windows")
+    # Most windows occur once: they are counted thin, and only the others look for their first occurrence.
+    twice = found.groupBy("window").agg(F.count("*").alias("n")).where("n > 1")
+    found = materialize(found.join(twice.select("window"), "window"), "repeated_windows")
     owner = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest", "place")
-    twice = found.groupBy("window").agg(F.count("*").alias("n"), F.min(owner).alias("first")).where("n > 1")
-    marked = found.join(twice.select("window", "first"), "window")
+    marked = found.join(found.groupBy("window").agg(F.min(owner).alias("first")), "window")
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
     extra = ~(own & (F.col("place") == F.col("first.place")))
     place = F.struct("place", extra.alias("extra"), F.col("first.doc_id").alias("first_id"))
@@ -194,7 +201,7 @@ def cleaned(
     own, same, places = (free_name(docs, n) for n in ("own_id", "own_digest", "places"))
     found = repeated(docs, id, text, reach).toDF(own, same, places)
     key = free_name(docs, "text_digest")
-    marked = docs.withColumn(key, F.xxhash64(text))
+    marked = docs.withColumn(key, _digest(text))
     joined = marked.join(found, F.col(id).eqNullSafe(F.col(own)) & (F.col(key) == F.col(same)), "left")
 
     @F.arrow_udf("struct<clean_text string, n_passages int, n_cut int, kept_in array<long>>")
