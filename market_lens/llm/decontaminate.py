@@ -59,21 +59,19 @@ def hits(docs: DataFrame, windows: DataFrame, id: str = "doc_id", text: str = "t
 
     walked = docs.select(F.col(id).alias("doc_id"), F.xxhash64(text).alias("digest"), words_of(F.col(text)).alias("words"))
     walked = walked.withColumn("n_words", F.size("words"))
-    # -1 is the document's own row
-    starts = F.explode(F.sequence(F.lit(-1), F.greatest(F.lit(-1), F.col("n_words") - lengths[0])))
-    walked = walked.select("doc_id", "digest", "n_words", "words", starts.alias("start"))
-    at = F.col("start")
-    candidates = [
-        F.when((at >= 0) & (at + k <= F.col("n_words")), F.struct(F.lit(k).alias("length"), _hash("words", at, k).alias("hash")))
-        for k in lengths
-    ]
-    if len(candidates) > 1:
-        own = F.when(at < 0, F.struct(F.lit(0).alias("length"), F.lit(None).cast("long").alias("hash")))
-        listed = F.explode(F.filter(F.array(own, *candidates), lambda c: c.isNotNull()))
-        walked = walked.select("*", listed.alias("w")).select("*", "w.length", "w.hash")
-    else:
-        hashed = F.when(at >= 0, _hash("words", at, lengths[0]))
-        walked = walked.select("*", F.lit(lengths[0]).alias("length"), hashed.alias("hash"))
+    # One walk for all lengths, in one generator: a second one would copy the words for every window.
+    # -1 is the document's own row.
+    kinds = len(lengths)
+    steps = F.explode(F.sequence(F.lit(-1), F.greatest(F.lit(0), F.col("n_words") - lengths[0] + 1) * kinds - 1))
+    walked = walked.select("doc_id", "digest", "n_words", "words", steps.alias("step"))
+    at = F.floor(F.col("step") / kinds).cast("int")
+    walked = walked.select("*", at.alias("start"), F.pmod("step", F.lit(kinds)).alias("kind"))
+    at, hashed, length = F.col("start"), F.lit(None).cast("long"), F.lit(lengths[0])
+    for k, size in enumerate(lengths):
+        fits = (F.col("kind") == k) & (F.col("step") >= 0) & (at + size <= F.col("n_words"))
+        hashed = F.when(fits, _hash("words", at, size)).otherwise(hashed)
+        length = F.when(F.col("kind") == k, F.lit(size)).otherwise(length)
+    walked = walked.select("*", hashed.alias("hash"), length.alias("length"))
 
     passes = []
     for part in range(parts):

@@ -1,0 +1,283 @@
+"""Operators over documents against plain versions, at their edges too."""
+
+import hashlib
+import random
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from market_lens.llm import chunk_dedup, decontaminate, graph, piece_bpe, simhash
+from market_lens.llm.common import held_out
+
+MODEL = public_tokenizers.path("piece_bpe_32k.model")
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return brute.edge_docs(random.Random(5))
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    return brute.with_clashes(spark.createDataFrame(rows, brute.DOCS)).repartition(4)
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=MODEL)
+
+
+def in_order(rows):
+    return sorted(rows, key=lambda r: tuple((v is not None, v) for v in r))
+
+
+def sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def test_tokens_are_those_of_the_library(library):
+    model = piece_bpe.load(MODEL)
+    rng = random.Random(3)
+    parts = ["a", "th", "ing", " ", "  ", "▁", "\n", "\t", "é", "ß", "日本", "𝒳", "\x00", "0", "'", ".", "<s>", "<0x41>", "█", "пр", "    "]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 30))) for _ in range(3000)]
+    texts += [c * n for c in (" ", "a", "ha", "=", "\n", "▁") for n in range(70)]
+    for text in texts:
+        ids = model.encode(text)
+        assert ids == library.encode(text), text
+        assert model.decode(ids) == library.decode(ids), text
+
+
+def test_any_ids_decode_as_in_the_library(library):
+    model, rng = piece_bpe.load(MODEL), random.Random(9)
+    for _ in range(1000):
+        ids = [rng.choice([rng.randrange(3, 32000), rng.randrange(3, 259)]) for _ in range(rng.randint(0, 12))]
+        assert model.decode(ids) == library.decode(ids), ids
+
+
+def test_backtracking_keeps_no_token_that_merging_would_not(library):
+    model = piece_bpe.load(MODEL)
+    assert model.merged("▁the") == ["▁the"]
+    for word in ("▁Donaudampfschifffahrt", "aaaaaaaaaaaaaaaaa", "▁" * 40 + "x"):
+        assert [model.ids[p] for p in model.split(word)] == [model.ids[p] for p in model.merged(word)]
+
+
+def test_round_trip_of_a_table(docs, rows, library):
+    expected = []
+    for i, text, *_ in rows:
+        ids = library.encode(text or "")
+        expected.append((i, len(ids), sha(",".join(map(str, ids))), sha(library.decode(ids))))
+    assert in_order(map(tuple, piece_bpe.round_trip(docs, MODEL).collect())) == in_order(expected)
+    assert piece_bpe.round_trip(docs.limit(0), MODEL).count() == 0
+
+
+def test_encoded_and_decoded_tables(docs, rows):
+    back = piece_bpe.decoded(piece_bpe.encoded(docs.where("doc_id < 100"), MODEL), MODEL)
+    expected = [(i, text or "") for i, text, *_ in rows if i is not None and i < 100]
+    assert in_order((r[0], r[1].replace("▁", " ")) for r in back.collect()) == in_order((i, t.replace("▁", " ")) for i, t in expected)
+
+
+def test_simhash_against_all_pairs(docs, rows):
+    prints = [brute.simhash_of(r[1]) for r in rows]
+    roots = brute.components(prints)
+    ids: dict = {}
+    for (i, *_), root in zip(rows, roots, strict=True):
+        if i is not None:
+            ids[root] = min(i, ids.get(root, i))
+    expected = [(r[0], f"{p:016x}", ids.get(root)) for r, p, root in zip(rows, prints, roots, strict=True)]
+    assert in_order(map(tuple, simhash.near_duplicates(docs).collect())) == in_order(expected)
+    assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_one_document_of_each_component_stays(docs, rows):
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    prints = [brute.simhash_of(r[1]) for r in rows]
+    roots = brute.components(prints)
+    got = [r["doc_id"] for r in kept.collect()]
+    assert len(got) == len(set(roots))
+    best: dict = {}
+    for r, root in zip(rows, roots, strict=True):
+        best[root] = min(best.get(root, (True, 0)), (r[0] is None, r[0] or 0))
+    assert sorted(map(str, got)) == sorted(str(None if none else i) for none, i in best.values())
+    assert simhash.keep_one(docs.limit(0)).count() == 0
+
+
+def test_near_copies_in_one_large_ball_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK", 16)  # many blocks that must meet
+    rng = random.Random(1)
+    prints = set()
+    for centre in (0, 2**63 + 12345, rng.getrandbits(64)):
+        for _ in range(150):
+            value = centre
+            for _ in range(rng.randint(0, 3)):
+                value ^= 1 << rng.randrange(64)
+            prints.add(value)
+    prints |= {rng.getrandbits(64) for _ in range(50)}
+    prints = sorted(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    thin = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    got = {r["fp"]: r["component_id"] for r in simhash.classes(thin).collect()}
+    assert [got[s] for s in signed] == brute.components(prints)
+
+
+@pytest.mark.parametrize("distance", [0, 1, 2, 4])
+def test_other_distances(spark, distance):
+    rng = random.Random(distance)
+    prints = {7}
+    for _ in range(60):
+        prints.add(rng.choice(sorted(prints)) ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 6))))
+    prints = sorted(prints)
+    signed = np.array(prints, np.uint64).view(np.int64).tolist()
+    thin = spark.createDataFrame(list(enumerate(signed)), "doc_id long, fp long")
+    got = {r["fp"]: r["component_id"] for r in simhash.classes(thin, distance).collect()}
+    assert [got[s] for s in signed] == brute.components(prints, distance)
+
+
+def test_components_of_a_chain_and_a_star(spark):
+    chain = [(k, k + 1) for k in range(40)]
+    star = [(100, k) for k in range(101, 160)]
+    links = spark.createDataFrame([*chain, *star, (5, 5), (None, 3)], "a long, b long")
+    got = {r["node"]: r["root"] for r in graph.components(links).collect()}
+    assert got == {k: 0 for k in range(1, 41)} | {k: 100 for k in range(101, 160)}
+
+
+ITEMS = [(1, None), (2, ""), (3, "one"), (4, "Two, WORDS!"), (None, "x y z"), (30, None)]
+
+
+@pytest.fixture(scope="module")
+def planted(spark, rows):
+    rng = random.Random(8)
+    passages = [brute.sentence(rng, 25), brute.sentence(rng, 12), brute.sentence(rng, 10)]
+    items = [*ITEMS, *[(50 + k, p) for k, p in enumerate(passages)], (7, passages[0]), (7, passages[0])]
+    more = [(900, f"{brute.sentence(rng, 9)}. {passages[0].upper()}! {brute.sentence(rng, 7)}", "en", "a", 1)]
+    more += [(901, " ".join(passages[1].split()[:11]), "en", "a", 1), (902, " ".join(passages[2].split()[:9]), "en", "a", 1)]
+    return [*rows, *more], items
+
+
+@pytest.mark.parametrize("most", [250_000, 7])
+def test_contamination_against_a_plain_scan(spark, planted, monkeypatch, most):
+    monkeypatch.setattr(decontaminate, "MOST_WINDOWS", most)  # one broadcast, or many
+    rows, items = planted
+    docs = brute.with_clashes(spark.createDataFrame(rows, brute.DOCS))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = []
+    for i, text, *_ in rows:
+        n, hit, found = brute.contamination(text, items)
+        expected.append((i, n, len(hit), len(found), sha(",".join(sorted(found))), bool(hit)))
+    assert in_order(map(tuple, decontaminate.report(docs, bench).collect())) == in_order(expected)
+
+
+def test_contaminated_documents_or_spans_go(spark, planted):
+    rows, items = planted
+    docs = brute.with_clashes(spark.createDataFrame(rows, brute.DOCS))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = decontaminate.drop_documents(docs, bench)
+    assert kept.columns == docs.columns
+    clean = [r[:2] for r in rows if not brute.contamination(r[1], items)[1]]
+    assert in_order((r["doc_id"], r["text"]) for r in kept.collect()) == in_order(clean)
+    cut = decontaminate.drop_spans(docs, bench)
+    assert cut.columns == docs.columns
+    got = {(r["doc_id"], r["n_chars"]): r["text"] for r in cut.where("doc_id is not null").collect()}
+    for i, text, _, _, n in rows:
+        if i is not None:
+            words, hit = brute.words_of(text), brute.contamination(text, items)[1]
+            assert brute.words_of(got[(i, n)]) == [w for k, w in enumerate(words) if k not in hit]
+    assert got[(1, 0)] is None
+
+
+def test_an_empty_benchmark_or_table(spark, docs, rows):
+    none = spark.createDataFrame([], "item_id long, text string")
+    report = decontaminate.report(docs, none)
+    assert report.count() == len(rows)
+    assert report.where("contaminated or n_hit > 0 or n_items > 0").count() == 0
+    assert decontaminate.report(docs.limit(0), none).count() == 0
+
+
+def test_decontamination_runs_no_python(docs, spark):
+    bench = spark.createDataFrame(ITEMS, "item_id long, text string")
+    plan = decontaminate.report(docs, bench)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
+    assert not any(word in plan for word in ("Python", "Pandas", "Arrow"))
+
+
+def test_gear_is_the_rolling_hash():
+    data = np.frombuffer(bytes(random.Random(2).randbytes(500)), np.uint8)
+    h, expected = 0, []
+    for byte in data.tolist():
+        h = (2 * h + int(chunk_dedup._GEAR[byte])) % 2**32
+        expected.append(h)
+    assert chunk_dedup.gear(data).tolist() == expected
+
+
+def test_cuts_are_the_highest_word_starts_and_resist_insertions():
+    rng = random.Random(4)
+    text = brute.sentence(rng, 2000, "fr").encode()
+    edges = chunk_dedup.cut(text).tolist()
+    score = chunk_dedup.gear(np.frombuffer(text, np.uint8))
+    starts = [i for i in range(1, len(text)) if text[i - 1 : i] == b" " != text[i : i + 1]]
+    level = {i: int(score[i - 1]) | 1 for i in starts}
+    reach = chunk_dedup.REACH
+    expected = [i for i in starts if all(level[i] >= level[j] and (level[i] > level[j] or j >= i) for j in starts if abs(i - j) <= reach)]
+    assert edges == [0, *expected, len(text)]
+    shifted = chunk_dedup.cut(b"inserted words " + text)
+    assert set((shifted - 15).tolist()) >= set(edges[4:])
+
+
+def test_texts_without_words_are_cut_inside_no_character():
+    for text in ("é" * 5000, "日" * 4000, "x" * 4096, "", " " * 50):
+        data = text.encode()
+        edges = chunk_dedup.cut(data).tolist()
+        assert edges[0] == 0 and edges[-1] == len(data) and edges == sorted(set(edges))
+        assert "".join(data[a:b].decode() for a, b in zip(edges, edges[1:], strict=False)) == text
+
+
+def test_repeated_passages_against_a_plain_version(spark):
+    rng = random.Random(12)
+    passage, other = brute.sentence(rng, 60), brute.sentence(rng, 55)
+    texts = {k: brute.sentence(rng, rng.randint(0, 120)) for k in range(40)}
+    for k in (3, 9, 17, 30):
+        texts[k] = f"{brute.sentence(rng, k)} {passage} {brute.sentence(rng, 11)}"
+    texts[20] = f"{other} {brute.sentence(rng, 5)} {other}"
+    texts[21], texts[22], texts[23] = None, "", brute.sentence(rng, 20_000)
+    texts[24] = texts[23]
+    docs = brute.with_clashes(spark.createDataFrame(list(texts.items()), "doc_id long, text string"))
+    out = chunk_dedup.cleaned(docs)
+    names = out.columns[-4:]
+    expected = brute.repeats(
+        texts, chunk_dedup.cut, chunk_dedup._digests, chunk_dedup._passages, chunk_dedup.MIN_WORDS, chunk_dedup.REACH
+    )
+    for r in out.collect():
+        spans, gone, kept_in = expected[r["doc_id"]]
+        text = texts[r["doc_id"]]
+        if text is not None:
+            data = text.encode()
+            for a, b in reversed(gone):
+                data = data[:a] + data[b:]
+            text = data.decode()
+        assert tuple(r[n] for n in names) == (text, len(spans), len(gone), sorted(kept_in))
+    by_id = {r["doc_id"]: r for r in out.collect()}
+    assert passage in by_id[3][names[0]] and by_id[3][names[1]] == 1
+    for k in (9, 17, 30):
+        assert by_id[k][names[3]] == [3] and len(by_id[k][names[0]]) < len(texts[k]) - 0.7 * len(passage)
+    assert by_id[20][names[3]] == [20] and by_id[24][names[0]].strip() == ""
+    kept = chunk_dedup.without_repeats(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(texts) - {24}
+
+
+def test_chunk_dedup_at_its_edges(docs, rows):
+    out = chunk_dedup.cleaned(docs)
+    assert out.count() == len(rows)
+    assert chunk_dedup.cleaned(docs.limit(0)).count() == 0
+    assert out.columns[: len(docs.columns)] == docs.columns
+
+
+def test_held_out_is_crc32_of_the_id_as_text(spark):
+    import zlib
+
+    got = spark.range(-50, 50).select("id", held_out("id").alias("h")).collect()
+    assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
+    assert spark.range(1).select(held_out(F.lit(None).cast("long"))).first()[0] is True
