@@ -35,9 +35,14 @@ def band(value: ColumnOrName, bands: list[tuple[float | None, str]]) -> Column:
     return labels
 
 
+_NUMBER = r"(?i)^\s*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf(?:inity)?)\s*$"
+
+
 def to_number(c: ColumnOrName) -> Column:
-    """The value as a double; text that is no number, and NaN, become null."""
-    return F.nanvl(col(c).try_cast("double"), F.lit(None).cast("double"))
+    """The value as a double; text that is no plain number (``12d``, ``0x1p3``), and NaN, become null."""
+    value = col(c)
+    plain = F.when(value.cast("string").rlike(_NUMBER), value)
+    return F.nanvl(plain.try_cast("double"), F.lit(None).cast("double"))
 
 
 def round_half_even(c: ColumnOrName, digits: int = 1) -> Column:

@@ -187,7 +187,7 @@ def stream_ingest_pages(spark, sf_dir):
 @query("stream_ingest_listings", _SITE_LISTINGS)
 def stream_ingest_listings(spark, sf_dir):
     out = _ingest_in_drops(spark, listing_pages(spark, sf_dir))
-    return spark.read.parquet(I.listings_path(out)).drop("batch_id", "ord")
+    return spark.read.parquet(I.listings_path(out)).drop("run", "batch_id", "ord")
 
 
 @query("stream_visited", "select distinct url from pages")

@@ -45,11 +45,14 @@ CLUSTER_COLUMNS = ["price_wan", "model_year", "mileage_km", "age_years"]
 
 
 def conform(df: DataFrame) -> DataFrame:
-    """Give ``df`` exactly the listing columns, adding absent ones as typed nulls."""
+    """Give ``df`` exactly the listing columns, adding absent ones as typed nulls.
+
+    A value that the column's type can't hold becomes null.
+    """
     present = set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name) if f.name in present else F.lit(None)).try_cast(f.dataType).alias(f.name)
             for f in LISTING_SCHEMA.fields
         ]
     )

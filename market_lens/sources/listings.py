@@ -20,10 +20,11 @@ log = logging.getLogger(__name__)
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Every column as text under its header name.
 
-    ``multi_line`` allows line breaks inside quotes, at the price of one task per file.
+    Quoted cells may hold line breaks, so a file is one task; ``write_listings`` makes a
+    file for each partition. ``multi_line=False`` splits files, for files known to have none.
     """
     return spark.read.options(**_CSV, enforceSchema=False, inferSchema=False, multiLine=multi_line).csv(path)
 
@@ -38,6 +39,7 @@ def na_tokens_to_null(df: DataFrame, tokens: list[str] = vocab.NA_TOKENS) -> Dat
 def type_listings(raw: DataFrame, ref_year: int = vocab.REFERENCE_YEAR) -> DataFrame:
     """Named and typed listing columns from a text table; bad numbers become null.
 
+    So do numbers that the column's type can't hold; a fraction of a whole-number column is cut off.
     Rows without any value are dropped, absent listing columns stay absent, except for
     the age, which is derived from the year. Unknown columns are kept as text.
     """
@@ -45,7 +47,7 @@ def type_listings(raw: DataFrame, ref_year: int = vocab.REFERENCE_YEAR) -> DataF
     kinds = {f.name: f.dataType for f in LISTING_SCHEMA.fields}
     df = df.select(
         *[
-            (to_number(c).cast(kinds[c]) if c in kinds and is_numeric(kinds[c]) else F.col(f"`{c}`")).alias(c)
+            (to_number(c).try_cast(kinds[c]) if c in kinds and is_numeric(kinds[c]) else F.col(f"`{c}`")).alias(c)
             for c in df.columns
         ]
     )
@@ -54,7 +56,7 @@ def type_listings(raw: DataFrame, ref_year: int = vocab.REFERENCE_YEAR) -> DataF
     return df
 
 
-def read_listings(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+def read_listings(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     return type_listings(read_raw_csv(spark, path, multi_line))
 
 
@@ -75,5 +77,7 @@ def write_listings(df: DataFrame, path: str | None = None, fmt: str = "csv", sin
         writer.options(**_CSV).csv(path)
     else:
         writer.format(fmt).save(path)
-    log.info("wrote %d rows to %s", written.get["rows"], path)
+    # only names and sizes are read
+    size = df.sparkSession.read.format("binaryFile").load(path).agg(F.sum("length")).first()[0]
+    log.info("wrote %d rows, %.2f KB to %s", written.get["rows"], (size or 0) / 1024, path)
     return True

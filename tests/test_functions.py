@@ -256,3 +256,34 @@ def test_text_functions_run_outside_python(spark):
     df = spark.createDataFrame([("a", "b", "c")], "title string, text string, city_code string")
     plan = K.parse_listing(df)._jdf.queryExecution().executedPlan().toString()
     assert "PythonEval" not in plan and "ArrowEval" not in plan and "BatchEval" not in plan
+
+
+@pytest.mark.parametrize(
+    ("html", "expected"),
+    [
+        ("&#9999999;&#0;&#xD800;&#x110000;&#99999999999999999999;", "�" * 5),
+        ("&#x80;&#150;&#1;x&#xFFFF;", "€–x"),
+        ("&eacute;&Eacute;&rarr;&nosuch;&copy2&notit;&amp", "éÉ→&nosuch;©2¬it;&"),
+        ("&amp;lt; &amp;#65; R&D a & b &", "&lt; &#65; R&D a & b &"),
+        ("&#0000000065;&#x000041;", "AA"),
+    ],
+)
+def test_references_decode_as_in_browsers(spark, html, expected):
+    from html import unescape
+
+    assert unescape(html) == expected == one(spark, H.decode_entities, html)
+
+
+@pytest.mark.parametrize("text", ["12d", "1f", "0x1p3", "1_000", "--1", "1e", ".", "e5", ""])
+def test_what_is_no_plain_number(spark, text):
+    assert one(spark, C.to_number, text) is None
+
+
+@pytest.mark.parametrize(("text", "value"), [(" 12 ", 12.0), ("-.5", -0.5), ("1e3", 1000.0), ("+7.", 7.0), ("inf", float("inf"))])
+def test_plain_numbers(spark, text, value):
+    assert one(spark, C.to_number, text) == value
+
+
+def test_attributes_without_quotes(spark):
+    assert one(spark, lambda c: H.attribute(c, "[carname]"), "<li class=x carname=奥迪 id=1>") == "奥迪"
+    assert one(spark, lambda c: H.blocks(c, "li.cards-li"), "<LI class=cards-li>a</li><li class=cards-lix>b</li>") == ["a"]

@@ -310,3 +310,50 @@ def test_label_codes(spark):
 def test_constant_column_standardizes_to_zero(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, b double")
     assert sorted(map(tuple, P.standardize(df, ["a", "b"]).collect())) == [(-1.0, 0.0), (1.0, 0.0)]
+
+
+MIXED = {
+    "flat": ('<li class="cards-li"><h4>奥迪</h4> a&eacute; </li><li class="cards-li">b</li>', [("奥迪", "奥迪aé"), (None, "b")]),
+    "unquoted": ("<li class=cards-li carname=宝马><p>x</p></li><li class=other>y</li>", [(None, "x")]),
+    "nested": (
+        "<div class='list-item'><div>t</div><h4>奥迪</h4><div><div>u</div></div>v</div><div class='list-item'>w</div>",
+        [("奥迪", "t奥迪uv"), (None, "w")],
+    ),
+    "unclosed": ("<ul><li class=cards-li>A<h4>T</h4><li class=cards-li>B</ul>", [("T", "AT"), (None, "B")]),
+    "inner list": (
+        "<li class='cards-li'><h4>T</h4><ul><li>1</li><li>2</li></ul>z</li><li class='cards-li'>q</li>",
+        [("T", "T12z"), (None, "q")],
+    ),
+    "template": ("<li class='cards-li'>a<template><p>no</p></template>b</li>", [(None, "ab")]),
+    "number": ("<li class='cards-li'>a&#66c</li>", [(None, "aBc")]),
+    "none": ("<p>nothing</p>", []),
+    "empty": ("", []),
+    "null": (None, []),
+}
+
+
+def test_cards_of_mixed_markup(spark):
+    from market_lens.operators.cards import explode_cards, explode_flat_cards, explode_nested_cards
+
+    pages = spark.createDataFrame([(k, html) for k, (html, _) in MIXED.items()], "url string, html string")
+
+    def cards(df) -> dict:
+        out: dict = {k: [] for k in MIXED}
+        for r in sorted(df.collect(), key=lambda r: (r["url"], r["ord"])):
+            out[r["url"]].append((r["title"], r["text"]))
+        return out
+
+    expected = {k: want for k, (_, want) in MIXED.items()}
+    assert cards(explode_cards(pages)) == expected
+    assert cards(explode_nested_cards(pages)) == expected
+    flat = cards(explode_flat_cards(pages))
+    assert all(flat[k] == expected[k] for k in ("flat", "unquoted", "none", "empty", "null"))
+
+
+def test_paragraphs_rows_and_options_end_by_themselves():
+    from market_lens.functions.outline import page_cards
+
+    page = "<table><tr><td class='list-item'>a<td class='list-item'>b<tr><td class='list-item'>c</table>"
+    assert [c["text"] for c in page_cards(page, [".list-item"], ["h4"])] == ["a", "b", "c"]
+    page = "<p class='list-item'>a<p class='list-item'>b<div>c</div><select><option class='list-item'>d<option>e</select>"
+    assert [c["text"] for c in page_cards(page, [".list-item"], ["h4"])] == ["a", "b", "d"]

@@ -98,3 +98,35 @@ def test_an_interrupted_batch_is_replaced(spark, sf_dir):
     I.ingest_incremental(spark, source, out, state, texts).awaitTermination()
     assert spark.read.parquet(I.listings_path(out)).count() == pages.count()
     assert read_pages(spark, I.pages_path(out)).count() == pages.count()
+
+
+def test_no_cell_fails_a_load(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("品牌,车型,价格,年份,里程\n奥迪,A4,1e400,99999999999,inf\n奥迪,A6,12d,2019.7,1e30\n", encoding="utf-8")
+    rows = S.read_listings(spark, str(path)).select("model", "price_wan", "model_year", "mileage_km").collect()
+    assert [tuple(r) for r in rows] == [("A4", float("inf"), None, None), ("A6", None, 2019, None)]
+
+
+def test_written_line_breaks_read_back(spark, tmp_path):
+    rows = [("奥迪", 'a\n"b",c', 1.5), ("宝马", "x\r\ny", 2.0)]
+    df = spark.createDataFrame(rows, "brand string, model string, price_wan double").repartition(2)
+    assert S.write_listings(df, str(tmp_path / "out"))
+    back = S.read_listings(spark, str(tmp_path / "out")).select("brand", "model", "price_wan").collect()
+    assert {r["model"].replace("\r\n", "\n") for r in back} == {m.replace("\r\n", "\n") for _, m, _ in rows}
+    assert {(r["brand"], r["price_wan"]) for r in back} == {(b, p) for b, _, p in rows}
+
+
+def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    pages = spark.createDataFrame([(1, "a", "x"), (2, "b", "x"), (3, None, "x"), (4, None, "y")], "page_id long, url string, html string")
+    pages.write.parquet(source)
+    texts = lambda df: df.select("page_id", "url")
+    I.ingest_incremental(spark, source, out, str(tmp_path / "one"), texts).awaitTermination()
+    more = spark.createDataFrame([(5, "b", "x"), (6, "c", "x"), (7, "c", "x")], "page_id long, url string, html string")
+    more.write.mode("append").parquet(source)
+    I.ingest_incremental(spark, source, out, str(tmp_path / "two"), texts).awaitTermination()
+    landed = [(r["page_id"], r["url"]) for r in read_pages(spark, I.pages_path(out)).collect()]
+    assert sorted(x for x in landed if x[1]) == [(1, "a"), (2, "b"), (6, "c")]
+    assert {x for x in landed if not x[1]} == {(3, None), (4, None)}
+    I.ingest_incremental(spark, source, out, str(tmp_path / "two"), texts).awaitTermination()
+    assert read_pages(spark, I.pages_path(out)).count() == len(landed)
