@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from market_lens import vocab
-from market_lens.operators.prefix import sum_before
+from market_lens.operators.prefix import join_with_nulls, sum_before
 
 PAGE_KEYS = ["city_idx", "cat_idx", "page"]
 
@@ -56,7 +56,7 @@ def until_dry(page_counts: DataFrame, by: list[str] = ("city_idx", "cat_idx")) -
     dry = F.min(F.when(F.col("n_new") == 0, F.col("page")))
     first_dry = page_counts.groupBy(*by).agg(dry.alias("_dry"))
     return (
-        page_counts.join(first_dry, list(by))
+        join_with_nulls(page_counts, first_dry, list(by))
         .where(F.col("_dry").isNull() | (F.col("page") < F.col("_dry")))
         .drop("_dry")
     )
@@ -79,7 +79,7 @@ def total_cap(cards: DataFrame, target: int, page_keys: list[str] = PAGE_KEYS, o
     """
     sizes = cards.groupBy(*page_keys).agg(F.count(F.lit(1)).alias("_size"))
     starts = sum_before(sizes, "_size", page_keys, out="_start").where(F.col("_start") < target)
-    placed = cards.join(starts, page_keys)
+    placed = join_with_nulls(cards, starts, page_keys)
     whole = F.col("_start") + F.col("_size") <= target
     rank = F.row_number().over(Window.partitionBy(*page_keys).orderBy(ord))
     cut = placed.where(~whole).withColumn("_rank", rank).where(F.col("_start") + F.col("_rank") <= target)

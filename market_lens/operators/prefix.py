@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def join_with_nulls(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on ``keys`` in which null meets null; ``df``'s keys and the other columns of both stay."""
+    renamed = other.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(Column.__and__, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(renamed, same).drop(*[f"_key_{k}" for k in keys])
+
+
 def sum_before(df: DataFrame, value: str, levels: list[str], by: list[str] = (), out: str = "before") -> DataFrame:
     """Add the sum of ``value`` over all rows that come earlier within ``by``.
 
-    ``levels`` is the order, coarsest first; together with ``by`` it must be unique and
-    not null. A plain running window would send a whole ``by`` group (with no ``by``, the
+    ``levels`` is the order, coarsest first; together with ``by`` it must be unique. Nulls are
+    values like others and come first. A plain running window would send a whole ``by`` group (with no ``by``, the
     whole table) through one task. Here each level is first summed with a map-side
     aggregate and the window at a level only sees the children of one parent; a row's
     result is the sum of its own offset and its ancestors' offsets.
@@ -25,7 +32,7 @@ def sum_before(df: DataFrame, value: str, levels: list[str], by: list[str] = (),
         offset = F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias(f"_offset{depth}")
         offsets.append(totals.select(*path, offset))
     for depth, part in enumerate(offsets, 1):
-        df = df.join(part, [*by, *levels[:depth]])
+        df = join_with_nulls(df, part, [*by, *levels[:depth]])
     total = reduce(Column.__add__, [F.col(f"_offset{d}") for d in range(1, len(levels) + 1)])
     return df.withColumn(out, total).drop(*[f"_offset{d}" for d in range(1, len(levels) + 1)])
 

@@ -13,7 +13,8 @@ from market_lens.plans.fixtures import view
 from market_lens.plans.registry import query
 from market_lens.plans.stats_queries import rounded
 
-# Small forests keep the registered queries quick; the data is always the whole table.
+# The queries' own model size, far under the defaults of the operators (100 trees, depth 30): nine queries fit
+# a forest each, over the whole table. See README, "Known limits".
 _SIZE = {"n_trees": 10, "max_depth": 8}
 _KEYS = ["listing_key"]
 
@@ -127,7 +128,11 @@ def ml_standardize(spark, sf_dir):
 
 
 _CENTERS = [[20.0, 20000.0], [40.0, 60000.0], [60.0, 90000.0], [90.0, 110000.0]]
-_NEAREST = "with d as (select listing_key, price_wan, [{}] as d from listings where mileage_km is not null)".format(
+_NEAREST = (
+    "with l as (select listing_key, price_wan, "
+    "coalesce(cast(mileage_km as double), (select avg(mileage_km) from listings)) as mileage_km from listings), "
+    "d as (select listing_key, price_wan, [{}] as d from l)"
+).format(
     ", ".join(
         f"(price_wan - {a}::double) * (price_wan - {a}::double) + (mileage_km - {b}::double) * (mileage_km - {b}::double)"
         for a, b in _CENTERS
@@ -136,7 +141,7 @@ _NEAREST = "with d as (select listing_key, price_wan, [{}] as d from listings wh
 
 
 def _nearest(spark, sf_dir):
-    df = _listings(spark, sf_dir).where("mileage_km is not null")
+    df = P.impute_mean(_listings(spark, sf_dir).select("listing_key", "price_wan", "mileage_km"), ["mileage_km"])
     return P.assign_nearest(df, ["price_wan", "mileage_km"], _CENTERS).select("listing_key", "price_wan", "cluster")
 
 

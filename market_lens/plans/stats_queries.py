@@ -357,7 +357,7 @@ def chart_mileage_box(spark, sf_dir):
     return rounded(G.chart("mileage_boxplot", view(spark, sf_dir, "listings")), "q1", "median", "q3")
 
 
-# Total prices per customer segment have long tails, so this one has outliers in every group.
+# Total prices per customer segment have long tails.
 _SKEWED = "spend as (select c_mktsegment as segment, cast(floor(o_totalprice * o_totalprice / 1000) as bigint) as spend " \
     "from customer join orders on o_custkey = c_custkey),"
 
@@ -374,13 +374,31 @@ def chart_spend_box(spark, sf_dir):
     return rounded(G.boxplot(_spend(spark, sf_dir), "segment", "spend"), "q1", "median", "q3")
 
 
+# Every 97th listing has gone twenty times as far: outliers in every group.
+_DRIVEN = (
+    "driven as (select vehicle_type, case when listing_key % 97 = 0 then mileage_km * 20 else mileage_km end as mileage_km "
+    "from listings where vehicle_type is not null and mileage_km is not null),"
+)
+
+
+def _driven(spark, sf_dir):
+    far = F.when(F.col("listing_key") % 97 == 0, F.col("mileage_km") * 20).otherwise(F.col("mileage_km"))
+    known = view(spark, sf_dir, "listings").where("vehicle_type is not null and mileage_km is not null")
+    return known.select("vehicle_type", far.alias("mileage_km"))
+
+
 @query(
     "chart_mileage_outliers",
-    f"with {_SKEWED} {_box('spend', 'segment', 'spend')} "
+    f"with {_DRIVEN} {_box('driven', 'vehicle_type', 'mileage_km')} "
     'select g as "group", v as value, count(*) as cnt from fenced where not inside group by 1, 2',
 )
 def chart_mileage_outliers(spark, sf_dir):
-    return G.outliers(_spend(spark, sf_dir), "segment", "spend")
+    return G.outliers(_driven(spark, sf_dir), "vehicle_type", "mileage_km")
+
+
+@query("chart_mileage_box_far", f"with {_DRIVEN} {_box('driven', 'vehicle_type', 'mileage_km')} {_BOX}")
+def chart_mileage_box_far(spark, sf_dir):
+    return rounded(G.boxplot(_driven(spark, sf_dir), "vehicle_type", "mileage_km"), "q1", "median", "q3")
 
 
 def _predictions(spark, sf_dir):

@@ -357,3 +357,14 @@ def test_paragraphs_rows_and_options_end_by_themselves():
     assert [c["text"] for c in page_cards(page, [".list-item"], ["h4"])] == ["a", "b", "c"]
     page = "<p class='list-item'>a<p class='list-item'>b<div>c</div><select><option class='list-item'>d<option>e</select>"
     assert [c["text"] for c in page_cards(page, [".list-item"], ["h4"])] == ["a", "b", "d"]
+
+
+def test_null_keys_lose_no_rows(spark):
+    pages = [(None, 0, 1, 3), (None, 0, 2, 0), (None, 0, 3, 4), (1, None, 1, 5), (1, None, 2, 6), (1, 2, 1, 7)]
+    df = spark.createDataFrame(pages, "city_idx int, cat_idx int, page int, n_new int")
+    assert sorted(map(str, C.until_dry(df).collect())) == sorted(map(str, [r for r in df.collect() if (r["city_idx"], r["page"]) not in ((None, 2), (None, 3))]))
+    before = {(r["city_idx"], r["cat_idx"], r["page"]): r["before"] for r in C.city_cap(df, 100).collect()}
+    assert before == {(None, 0, 1): 0, (None, 0, 2): 3, (None, 0, 3): 3, (1, None, 1): 0, (1, None, 2): 5, (1, 2, 1): 11}
+    cards = [(*p[:3], k) for p in pages for k in range(p[3])]
+    taken = C.total_cap(spark.createDataFrame(cards, "city_idx int, cat_idx int, page int, card_ord int"), 9)
+    assert taken.count() == 9 and taken.where("city_idx is null").count() == 7
