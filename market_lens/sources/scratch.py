@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -32,13 +33,28 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def remove_written() -> None:
+    """Delete the intermediate tables of sessions that still run; called when Python ends."""
+    while _written:
+        spark, path = _written.pop()
+        if spark.sparkContext._jsc is not None:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there.
 
     For a table that several jobs or an iterative fit read: a lost executor costs a
     re-read of files, not a rerun of the plan behind them, and Spark knows the size of
-    what it reads, so it broadcasts a small table and shuffles a large one.
+    what it reads, so it broadcasts a small table and shuffles a large one. The files stay
+    until Python ends, since frames made of the table may be read until then.
     """
     spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    _written.append((spark, path))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
