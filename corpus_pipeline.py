@@ -17,7 +17,7 @@ from market_lens.sources.scratch import materialize
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, or in which no language has half of the words, go."""
+    """Documents without a letter, or in which no language has two fifths of the words, go."""
     return lang_crf.confident(docs)
 
 

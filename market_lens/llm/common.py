@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -67,3 +67,18 @@ def pieces(texts: pa.Array, most_bytes: int = 1 << 22) -> Iterator[pa.Array]:
         end = max(start + 1, int(np.searchsorted(sizes, before + most_bytes, side="right")))
         yield texts.slice(start, end - start)
         start = end
+
+
+def sample_by_hash(rows: DataFrame, by: str, most: int | Column, id: str = "doc_id") -> DataFrame:
+    """At most ``most`` rows of each value of ``by``: those whose id has the smallest hash.
+
+    A cut-off by the size of each group leaves about twice as many rows before any group is
+    ordered, so a value that most rows have makes no large group. The sizes are broadcast: a
+    row for each label of a model, which holds weights for every one of them.
+    """
+    most = F.lit(most) if isinstance(most, int) else most
+    sizes = rows.groupBy(by).agg(F.count("*").alias("n_of_group"))
+    hashed = rows.join(F.broadcast(sizes), by).withColumn("hash_of_id", F.pmod(F.xxhash64(id), F.lit(1 << 30)) / (1 << 30))
+    near = hashed.where(F.col("hash_of_id") * F.col("n_of_group") <= 2 * most)
+    first = Window.partitionBy(by).orderBy("hash_of_id", id)
+    return near.withColumn("n_of_group", F.row_number().over(first)).where(F.col("n_of_group") <= most).select(*rows.columns)

@@ -15,13 +15,14 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from market_lens.llm.common import free_name, held_out, pieces
+from market_lens.llm.common import free_name, held_out, pieces, sample_by_hash
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 17
@@ -31,23 +32,36 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 500
 CHARS_PER_DOC = 3000
 LEXICON = 5000
-REMEMBER = 200_000
+REMEMBER = 500_000
 
 
 def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
+class _Buckets(dict):
+    """Buckets of feature names; n-grams repeat, so names are hashed once."""
+
+    def __missing__(self, name: str) -> int:
+        bucket = zlib.crc32(name.encode("utf-8", "replace")) % BUCKETS
+        if len(self) < REMEMBER:
+            self[name] = bucket
+        return bucket
+
+
+_BUCKETS = _Buckets()
+
+
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
     """Buckets of a word's features: prefixes and suffixes up to 4, 2- and 3-grams, and the word if it is in the lexicon."""
     word = word if len(word) <= 64 else word[:32] + word[-32:]
     edged = f"^{word}$"
-    names = {"bias"}
-    names |= {f"<{word[:k]}" for k in range(1, 5)} | {f">{word[-k:]}" for k in range(1, 5)}
-    names |= {edged[k : k + n] for n in (2, 3) for k in range(len(edged) - n + 1)}
+    names = ["bias", *[f"<{word[:k]}" for k in range(1, 5)], *[f">{word[-k:]}" for k in range(1, 5)]]
+    names += [edged[k : k + 2] for k in range(len(edged) - 1)]
+    names += [edged[k : k + 3] for k in range(len(edged) - 2)]
     if word in lexicon:
-        names.add(f"={word}")
-    return [zlib.crc32(n.encode("utf-8", "replace")) % BUCKETS for n in names]
+        names.append(f"={word}")
+    return [_BUCKETS[n] for n in dict.fromkeys(names)]
 
 
 @dataclass
@@ -59,8 +73,11 @@ class Model:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.labels)))
-        for k, w in enumerate(words):
-            out[k] = self.weights[features(w, self.lexicon)].sum(axis=0)
+        for at in range(0, len(words), 1 << 14):
+            buckets = [features(w, self.lexicon) for w in words[at : at + (1 << 14)]]
+            starts = np.cumsum([0, *map(len, buckets)])[:-1]
+            flat = np.fromiter(chain.from_iterable(buckets), np.int64)
+            out[at : at + (1 << 14)] = np.add.reduceat(self.weights[flat], starts, axis=0)
         return out
 
 
@@ -218,16 +235,16 @@ class Scorer:
         self.ids: dict[str, int] = {}
         self.table = np.zeros((1024, len(model.labels) if model else 1), np.float32)
 
-    def _numbers(self, words: list[str]) -> list[int]:
+    def _numbers(self, words: list[str]) -> np.ndarray:
         ids = self.ids
-        new = [w for w in dict.fromkeys(words) if w not in ids]
+        new = list(set(words).difference(ids))
         if new:
             while len(ids) + len(new) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
             self.table[len(ids) : len(ids) + len(new)] = self.model.emissions(new)
             for w in new:
                 ids[w] = len(ids)
-        return [ids[w] for w in words]
+        return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
 
     def __call__(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """The language and its share of each text; ``und`` and 0 where there is no letter or nothing was learned."""
@@ -236,15 +253,16 @@ class Scorer:
             return names, scores
         if len(self.ids) > REMEMBER:
             self.ids.clear()
-        numbers, sizes, rows = [], [], []
+        said, sizes, rows = [], [], []
         for row, text in enumerate(texts):
             words = words_of(text)
-            if words and any(c.isalpha() for w in words for c in w):
-                numbers.extend(self._numbers(words))
+            if any(not w.isdigit() and any(map(str.isalpha, w)) for w in words):
+                said += words
                 sizes.append(len(words))
                 rows.append(row)
         if rows:
-            sums = label_shares(self.model, self.table[np.array(numbers)].astype(np.float64), np.array(sizes))
+            numbers = self._numbers(said)
+            sums = label_shares(self.model, self.table[numbers].astype(np.float64), np.array(sizes))
             best = sums.argmax(axis=1)
             share = sums[np.arange(len(rows)), best] / sums.sum(axis=1)
             for row, b, s in zip(rows, best.tolist(), share.tolist(), strict=True):
@@ -256,8 +274,7 @@ def sample(docs: DataFrame, id: str, text: str, lang: str, most_docs: int, most_
     """At most ``most_docs`` documents of each language, by hash of the id, and a stretch of each from a hashed place."""
     usable = ~held_out(id) & F.col(lang).isNotNull() & F.col(text).isNotNull()
     thin = docs.where(usable).select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"))
-    by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = thin.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= most_docs).select("doc_id").distinct()
+    chosen = sample_by_hash(thin, "lang", most_docs).select("doc_id").distinct()
     place = F.pmod(F.xxhash64(id), F.greatest(F.lit(1), F.char_length(text) - most_chars)).cast("int") + 1
     part = F.substring(F.col(text), place, F.lit(most_chars))
     rows = docs.where(usable).select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"), part.alias("part"))
@@ -305,7 +322,7 @@ def predictions(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: s
     return identify(thin, model).drop("text")
 
 
-def confident(docs: DataFrame, least: float = 0.5, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def confident(docs: DataFrame, least: float = 0.4, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """The rows of ``docs`` in which one language has a share of ``least``; ``und`` goes."""
     done = identify(docs, learn(docs, id, text, lang), text)
     name, score = done.columns[-2:]

@@ -48,7 +48,7 @@ def plain_language(spark, docs: dict, folder: str) -> set:
         words = lang_crf.words_of(r["text"] or "")
         if words and any(c.isalpha() for c in r["text"]):
             shares = brute.marginals(model.emissions(words), model.switch).sum(axis=0)
-            if shares.max() / shares.sum() >= 0.5:
+            if shares.max() / shares.sum() >= 0.4:
                 kept.add(i)
     return kept
 
