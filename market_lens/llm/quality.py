@@ -16,10 +16,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from market_lens.llm.common import held_out, pieces
+from market_lens.llm.common import held_out, pieces, sample_by_hash
 
 #: Bounds of what is fitted on: labelled rows of each class, rows of the pool, by hash of the id.
 LABELLED_ROWS, POOL_ROWS = 3000, 6000
@@ -203,12 +203,11 @@ def _features(source: Column, lang: Column, text: Column) -> Column:
 def sample(docs: DataFrame, labels: DataFrame) -> tuple[tuple, tuple, np.ndarray]:
     """Both views' numbers and the labels of a bounded sample without held-out rows."""
     marks = labels.where(~held_out("doc_id") & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("y"))
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    marked = marks.withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= LABELLED_ROWS).select("doc_id", "y")
+    marked = sample_by_hash(marks, "y", LABELLED_ROWS)
     usable = docs.where(~held_out("doc_id"))
     other = usable.select("doc_id").join(marks.select("doc_id"), "doc_id", "left_anti").distinct()
     other = other.orderBy(F.xxhash64("doc_id"), "doc_id").limit(POOL_ROWS).withColumn("y", F.lit(-1))
-    rows = usable.join(F.broadcast(marked.union(other)), "doc_id")
+    rows = usable.join(F.broadcast(marked.select("doc_id", "y").union(other)), "doc_id")
     rows = rows.select("doc_id", "y", _features(F.col("source"), F.col("lang"), F.col("text")).alias("f")).collect()
     rows.sort(key=lambda r: (zlib.crc32(str(r["doc_id"]).encode()), r["doc_id"], r["f"]["inside"]))
     labels = np.array([r["y"] for r in rows], np.int64)
