@@ -15,16 +15,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from market_lens.llm.common import held_out, pieces
+from market_lens.llm.common import held_out, pieces, sample_by_hash
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 STEMS = (3, 4, 5, 6, 7, 8)
 #: Bounds of what is fitted on: rows of each label and rows without one, by hash of their id.
-TOXIC_ROWS, OTHER_ROWS, UNLABELLED_ROWS = 2000, 4000, 2000
+TOXIC_ROWS, OTHER_ROWS, UNLABELLED_ROWS = 2000, 3000, 1500
 VOTERS = 240
 #: Columns of the classifier: those that differ most between the classes.
 COLUMNS = 3000
@@ -52,13 +52,14 @@ class Rows:
     def __init__(self, sets: list[np.ndarray], least: int = 3):
         self.n = len(sets)
         flat = np.concatenate([*sets, np.zeros(0, np.int32)])
-        row = np.repeat(np.arange(self.n), [len(s) for s in sets])
-        self.buckets, number, count = np.unique(flat, return_inverse=True, return_counts=True)
-        keep = count >= least
-        renamed = np.cumsum(keep) - 1
-        self.buckets = self.buckets[keep]
-        on = keep[number]
-        self.row, self.column = row[on], renamed[number[on]]
+        found, count = np.unique(flat, return_counts=True)
+        self.buckets = found[count >= least]
+        number = np.full(BUCKETS, -1, np.int32)
+        number[self.buckets] = np.arange(len(self.buckets), dtype=np.int32)
+        column = number[flat]
+        on = column >= 0
+        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(s) for s in sets])[on]
+        self.column = column[on]
 
     def totals(self, values: np.ndarray) -> np.ndarray:
         return np.bincount(self.column, values[self.row], len(self.buckets))
@@ -209,11 +210,8 @@ def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Mode
 def sample(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     """Features, labels and weights of a bounded sample; held-out rows are never in it."""
     marks = labels.where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    most = F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(OTHER_ROWS)
     totals = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
-    rank = F.row_number().over(by_hash)
-    marked = marks.withColumn("n", rank).where(F.col("n") <= max(TOXIC_ROWS, OTHER_ROWS)).where(F.col("n") <= most)
+    marked = sample_by_hash(marks, "y", F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(OTHER_ROWS))
     ids = docs.where(~held_out(id)).select(F.col(id).alias("doc_id"))
     other = ids.join(marks.select("doc_id"), "doc_id", "left_anti").distinct()
     n_other = other.count()
