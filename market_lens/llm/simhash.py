@@ -89,7 +89,8 @@ def _forest(prints: np.ndarray, left: np.ndarray, distance: int) -> Iterator[tup
 
 def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     """``a, b``: links that connect all fingerprints (column ``fp``, each once) within ``distance``."""
-    parts = -(-(distance + 1) // 2)  # the fewest segments of which one has no more than one differing bit
+    # The fewest segments of which one has no more than one differing bit. A segment has 32 bits at most.
+    parts = max(2, -(-(distance + 1) // 2))
     width = -(-BITS // parts)
     mask = (1 << width) - 1
     segments = [F.shiftrightunsigned("fp", s * width).bitwiseAND(F.lit(mask)) for s in range(parts)]
@@ -98,13 +99,20 @@ def links(prints: DataFrame, distance: int = 3) -> DataFrame:
     values = keyed.groupBy("s", "v").agg(F.count("*").alias("n"))
     values = materialize(values.select("s", "v", F.ceil(F.col("n") / BLOCK).alias("blocks"), "n"), "segments")
 
+    # A value and its blocks share a long, so the two values of a variant are a minimum and a maximum.
+    packed = F.shiftleft("v", 31).bitwiseOR(F.col("blocks")).alias("packed")
     bits = F.explode(F.sequence(F.lit(0), F.lit(width - 1)))
-    wiped = values.select("s", "v", "blocks", bits.alias("bit"))
-    wiped = wiped.withColumn("rest", F.col("v").bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, bit)"))))
-    near = wiped.groupBy("s", "bit", "rest").agg(
-        F.min(F.struct("v", "blocks")).alias("x"), F.max(F.struct("v", "blocks")).alias("y")
-    )
-    near = near.where("x.v <> y.v").select("s", "x", "y")
+    spread = values.repartition(int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions")), "s", "v")
+    wiped = spread.select("s", "v", packed, bits.alias("bit"))
+    rest = F.col("v").bitwiseAND(F.bitwise_not(F.expr("shiftleft(1L, bit)"))).alias("rest")
+    near = wiped.select("s", "bit", rest, "packed").groupBy("s", "bit", "rest")
+    near = near.agg(F.min("packed").alias("x"), F.max("packed").alias("y")).where("x < y")
+
+    def unpacked(name: str) -> Column:
+        blocks = F.col(name).bitwiseAND(F.lit((1 << 31) - 1))
+        return F.struct(F.shiftrightunsigned(name, 31).alias("v"), blocks.alias("blocks")).alias(name)
+
+    near = near.select("s", unpacked("x"), unpacked("y"))
     same = values.where("n > 1").select("s", F.struct("v", "blocks").alias("x"), F.struct("v", "blocks").alias("y"))
 
     # One unit of work for each pair of blocks; both sides of a unit are bounded.
