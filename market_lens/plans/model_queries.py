@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from market_lens import vocab
@@ -13,10 +16,8 @@ from market_lens.plans.fixtures import view
 from market_lens.plans.registry import query
 from market_lens.plans.stats_queries import rounded
 
-# The queries' own model size, far under the defaults of the operators (100 trees, depth 30): nine queries fit
-# a forest each, over the whole table. See README, "Known limits".
-_SIZE = {"n_trees": 10, "max_depth": 8}
 _KEYS = ["listing_key"]
+_FITTED: dict[tuple, tuple[tuple, L.TrainedForest]] = {}
 
 
 def _listings(spark, sf_dir):
@@ -174,12 +175,35 @@ def ml_metrics_accuracy(spark, sf_dir):
     return rounded(M.accuracy(df), "value")
 
 
-def _price_model(spark, sf_dir):
-    return L.train_price(_listings(spark, sf_dir), _KEYS, **_SIZE)
+def _state(df: DataFrame) -> tuple:
+    """The files that ``df`` reads, with lengths and times of change."""
+    jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+    found = []
+    for name in sorted(df.inputFiles()):
+        place = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = place.getFileSystem(conf).getFileStatus(place)
+        found.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(found)
+
+
+def _shared(train: Callable[..., L.TrainedForest], spark, sf_dir, source: str | None) -> L.TrainedForest:
+    """The forest of all listings or of a source, of full size: one fit for a session and input, for all queries."""
+    listings = _listings(spark, sf_dir)
+    state = _state(listings)
+    key = (spark.sparkContext.applicationId, id(spark), train.__name__, source)
+    if key not in _FITTED or _FITTED[key][0] != state:
+        chosen = listings if source is None else listings.where(F.col("source") == source)
+        _FITTED.pop(key, None)
+        _FITTED[key] = state, train(chosen, _KEYS)
+    return _FITTED[key][1]
+
+
+def _price_model(spark, sf_dir, source: str | None = None):
+    return _shared(L.train_price, spark, sf_dir, source)
 
 
-def _tier_model(spark, sf_dir):
-    return L.train_tier(_listings(spark, sf_dir), _KEYS, **_SIZE)
+def _tier_model(spark, sf_dir, source: str | None = None):
+    return _shared(L.train_tier, spark, sf_dir, source)
 
 
 @query("ml_price_predictions")
@@ -225,17 +249,16 @@ def ml_cluster_profile(spark, sf_dir):
 @query("ml_predict_price")
 def ml_predict_price(spark, sf_dir):
     listings = _listings(spark, sf_dir)
-    trained = L.train_price(listings.where("source = '车168'"), _KEYS, **_SIZE)
-    return L.predict_price(trained, listings.where("source = 'mirror'"), _KEYS)
+    return L.predict_price(_price_model(spark, sf_dir, "车168"), listings.where("source = 'mirror'"), _KEYS)
 
 
 @query("ml_predict_tier")
 def ml_predict_tier(spark, sf_dir):
     listings = _listings(spark, sf_dir)
-    trained = L.train_tier(listings.where("source = '车168'"), _KEYS, **_SIZE)
-    return L.predict_tier(trained, listings.where("source = 'mirror'"), _KEYS)
+    return L.predict_tier(_tier_model(spark, sf_dir, "车168"), listings.where("source = 'mirror'"), _KEYS)
 
 
 @query("rep_models")
 def rep_models(spark, sf_dir):
-    return L.model_report(_listings(spark, sf_dir), _KEYS, **_SIZE)
+    price, tier = (lambda: _price_model(spark, sf_dir)), (lambda: _tier_model(spark, sf_dir))
+    return L.model_report(_listings(spark, sf_dir), _KEYS, price=price, tier=tier)

@@ -1,11 +1,15 @@
 """Operators against brute force and against their own properties."""
 
 import random
+import shutil
 from collections import Counter
+from unittest.mock import Mock
 
 import numpy as np
 import pandas as pd
+import pyarrow.parquet as pq
 import pytest
+from conftest import SF_DIR
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -19,6 +23,7 @@ from market_lens.operators import quality as Q
 from market_lens.operators import reports
 from market_lens.operators.prefix import sum_before
 from market_lens.operators.quantile import quantiles
+from market_lens.plans import QUERIES
 from market_lens.plans.fixtures import view
 from market_lens.schema import COLUMNS, conform
 from market_lens.sources.scratch import fresh_path, materialize
@@ -301,6 +306,41 @@ def test_model_report_survives_a_failure(spark, planted):
     assert status == {"price": "failed", "tier": "failed", "clusters": "ok"}
 
 
+def test_registered_forests_have_full_size_and_are_shared(spark, tmp_path, monkeypatch):
+    """The fit is replaced: what counts is what the queries ask for."""
+    asked = []
+
+    def fitting(kind):
+        def fit(df, keys, n_trees=L.N_TREES, max_depth=L.MAX_DEPTH, *rest):
+            asked.append((kind, n_trees, max_depth))
+            return Mock(kind=kind, predictions=pairs, importance=scores, metrics=measured)
+
+        fit.__name__ = f"train_{kind}"
+        return fit
+
+    pairs = spark.createDataFrame([(1, 2.0, 3.0)], "listing_key long, actual double, predicted double")
+    scores = spark.createDataFrame([("brand", 1.0, 1)], "feature string, score double, rank int")
+    measured = spark.createDataFrame([("r2", 0.5)], "name string, value double")
+    monkeypatch.setattr(L, "train_price", fitting("price"))
+    monkeypatch.setattr(L, "train_tier", fitting("tier"))
+    monkeypatch.setattr(L, "cluster", Mock(side_effect=ValueError("not here")))
+    folder = tmp_path / "tables"
+    shutil.copytree(SF_DIR, folder, copy_function=shutil.copyfile)
+    folder.chmod(0o755)
+    names = (
+        "ml_price_predictions ml_price_importance chart_importance chart_price_prediction ml_tier_predictions "
+        "ml_tier_importance ml_predict_price ml_predict_tier rep_models"
+    ).split()
+    for name in names:
+        QUERIES[name](spark, str(folder))
+    full = [("price", 100, 30), ("tier", 100, 30)]
+    assert sorted(asked) == sorted(full * 2)  # of all listings, and of one source
+    lines = folder / "lineitem.parquet"
+    pq.write_table(pq.read_table(lines).slice(0, 3000), lines)
+    QUERIES["ml_price_predictions"](spark, str(folder))
+    assert len(asked) == 5
+
+
 def test_label_codes(spark):
     df = spark.createDataFrame([("宝马",), ("Jeep",), (None,), ("宝骏",), ("奥迪",), ("宝马",)], "brand string")
     codes = {r["label"]: r["code"] for r in P.fit_labels(df, ["brand"]).collect()}
