@@ -106,8 +106,8 @@ def _thin(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _digest(text: str) -> Column:
-    """Tells texts of one id apart."""
-    return F.hash(text)
+    """Tells texts of one id, or without one, apart: 64 bits, since millions may have no id."""
+    return F.xxhash64(text)
 
 
 def windows(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int = REACH) -> DataFrame:
@@ -127,7 +127,7 @@ def windows(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int
             if held:
                 yield _rows(batch, owners, found)
 
-    return _thin(docs, id, text).mapInArrow(one, "doc_id long, digest int, place int, window long")
+    return _thin(docs, id, text).mapInArrow(one, "doc_id long, digest long, place int, window long")
 
 
 def _rows(batch: pa.RecordBatch, owners: list[int], found: list[np.ndarray]) -> pa.RecordBatch:

@@ -268,6 +268,17 @@ def test_repeated_passages_against_a_plain_version(spark):
     assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == set(texts) - {24}
 
 
+def test_texts_without_id_of_equal_32_bit_hash_stay_apart(spark):
+    passage = brute.sentence(random.Random(31), 60)
+    texts = spark.range(400_000).select(F.concat(F.lit(f"{passage} "), F.col("id").cast("string")).alias("text"))
+    pairs = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("texts")).where(F.size("texts") > 1)
+    same = pairs.orderBy("h").first()["texts"][:2]
+    for no_id in (None, 7):
+        docs = spark.createDataFrame([(no_id, t) for t in same], "doc_id long, text string")
+        out = chunk_dedup.cleaned(docs).collect()
+        assert sorted((r["n_passages"], r["n_cut"]) for r in out) == [(1, 0), (1, 1)]
+
+
 def test_chunk_dedup_at_its_edges(docs, rows):
     out = chunk_dedup.cleaned(docs)
     assert out.count() == len(rows)
