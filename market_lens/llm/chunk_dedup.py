@@ -3,6 +3,8 @@
 The gear hash of a position depends on the 32 bytes before it alone. A text is cut at the
 word starts whose hash is the highest within ``reach`` bytes on either side, so chunks
 depend on what stands near them and an insertion shifts nothing but the chunks it touches.
+In a run of more than ``LONG_RUN`` bytes without white space (Chinese, Japanese, Thai) every
+character start counts as a word start, and ``WORD_BYTES`` bytes as a word.
 The digest of ``WINDOW`` chunks in a row is a duplicate if it occurs more than once; runs of
 duplicate windows of at least ``min_words`` words are repeated passages. The occurrence in the
 smallest document (and there the first) stays, the chunks of all others are cut out.
@@ -27,7 +29,9 @@ REACH = 16
 WINDOW = 3
 #: A passage is found if this many words of it lie in duplicate windows. Its ends may lie in chunks of other texts.
 MIN_WORDS = 20
-#: A text without word starts is cut after so many bytes.
+#: Runs without white space of more bytes than this are cut inside; so many bytes of them are a word.
+LONG_RUN, WORD_BYTES = 32, 6
+#: Where no place is the highest (one character again and again) a text is cut after so many bytes.
 MOST_BYTES = 4096
 
 _GEAR = np.random.default_rng(20240229).integers(1, 1 << 32, 256, np.uint32)
@@ -59,13 +63,19 @@ def _highest(values: np.ndarray, reach: int) -> np.ndarray:
 
 
 def cut(data: bytes, reach: int = REACH) -> np.ndarray:
-    """Where chunks start and end: 0, the cuts, and the length. Cuts are word starts, so never inside a character."""
+    """Where chunks start and end: 0, the cuts, and the length. Cuts are word starts or characters of long runs, never
+    inside a character."""
     n = len(data)
     if not n:
         return np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8)
     space = _SPACE[raw]
     starts = np.flatnonzero(space[:-1] & ~space[1:]) + 1
+    turns = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    long = np.flatnonzero(turns[1::2] - turns[::2] > LONG_RUN)
+    if len(long):
+        inside = np.concatenate([np.arange(turns[2 * k] + 1, turns[2 * k + 1]) for k in long.tolist()])
+        starts = np.sort(np.concatenate([starts, inside[raw[inside] & 0xC0 != 0x80]]))
     score = np.zeros(n, np.uint32)
     score[starts] = gear(raw)[starts - 1] | np.uint32(1)
     # of equal hashes the first is the cut
@@ -170,7 +180,7 @@ def _passages(data: bytes, places: list, min_words: int, reach: int) -> tuple[li
             extra[p["place"] : p["place"] + size] = 1
     spans = []
     for start, end in _stretches(seen):
-        if len(data[edges[start] : edges[end]].split()) >= min_words:
+        if _n_words(data, int(edges[start]), int(edges[end])) >= min_words:
             spans.append((start, end))
     gone, sources = [], set()
     for start, end in spans:
@@ -181,6 +191,20 @@ def _passages(data: bytes, places: list, min_words: int, reach: int) -> tuple[li
     return [(int(edges[a]), int(edges[b])) for a, b in spans], gone, sources - {None}
 
 
+def _n_words(data: bytes, start: int, end: int) -> int:
+    """Words of a span. A part of a long run, also one whose rest lies outside the span, counts by its bytes."""
+    words = data[start:end].split()
+    sizes = [len(w) for w in words]
+    wide = [n > LONG_RUN for n in sizes]
+    for k, at, step in ((0, start, -1), (-1, end - 1, 1)):
+        if words and not _SPACE[data[at]]:
+            rest, place = 0, at + step
+            while 0 <= place < len(data) and not _SPACE[data[place]] and rest <= LONG_RUN:
+                rest, place = rest + 1, place + step
+            wide[k] = wide[k] or sizes[k] + rest > LONG_RUN
+    return sum(max(1, n // WORD_BYTES) if w else 1 for n, w in zip(sizes, wide, strict=True))
+
+
 def _stretches(marks: np.ndarray) -> list[tuple[int, int]]:
     turns = np.flatnonzero(np.diff(marks, prepend=np.int8(0), append=np.int8(0)))
     return list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))

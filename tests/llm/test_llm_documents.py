@@ -279,6 +279,29 @@ def test_texts_without_id_of_equal_32_bit_hash_stay_apart(spark):
         assert sorted((r["n_passages"], r["n_cut"]) for r in out) == [(1, 0), (1, 1)]
 
 
+def test_repeats_of_texts_without_spaces_are_found(spark):
+    rng = random.Random(17)
+
+    def unspaced(n: int) -> str:
+        return "".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n))
+
+    whole, passage = unspaced(20_000), unspaced(300)
+    texts = {1: whole, 2: whole, 3: unspaced(70) + passage + unspaced(500), 4: unspaced(2011) + passage + unspaced(90)}
+    texts |= {5: unspaced(3000), 6: whole[:9000] + "新" + whole[9000:]}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = {r["doc_id"]: r for r in chunk_dedup.cleaned(docs).collect()}
+    assert out[2]["kept_in"] == [1] and out[2]["clean_text"] == ""
+    assert out[6]["kept_in"] == [1] and len(out[6]["clean_text"]) < 150
+    assert out[4]["kept_in"] == [3] and len(texts[4]) - len(out[4]["clean_text"]) > 250
+    assert [out[k]["n_cut"] for k in (1, 3, 5)] == [0, 0, 0] and out[5]["n_passages"] == 0
+
+
+def test_a_short_repeat_without_spaces_is_no_passage():
+    data = ("字" * 30).encode()
+    assert [chunk_dedup._n_words(data, 0, n) for n in (30, 90)] == [5, 15]
+    assert chunk_dedup._n_words(b"some words of a plain text", 0, 26) == 6
+
+
 def test_chunk_dedup_at_its_edges(docs, rows):
     out = chunk_dedup.cleaned(docs)
     assert out.count() == len(rows)
