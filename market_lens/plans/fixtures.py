@@ -106,9 +106,10 @@ select listing_key, price_wan as actual, mean_price as predicted
 from listings join brand_means using (brand) where {test_bucket} = 0
 """,
 }
+BUCKET_SQL = "(('0x'||substring(md5(cast(listing_key as string)),1,4))::int % 5)"
 _BUCKET = {
     "spark": "pmod(cast(conv(substring(md5(cast(listing_key as string)),1,4),16,10) as int),5)",
-    "check": "(('0x'||substring(md5(cast(listing_key as string)),1,4))::int % 5)",
+    "check": BUCKET_SQL,
 }
 
 

@@ -12,7 +12,7 @@ from market_lens.operators import charts as G
 from market_lens.operators import features as P
 from market_lens.operators import metrics as M
 from market_lens.operators import models as L
-from market_lens.plans.fixtures import view
+from market_lens.plans.fixtures import BUCKET_SQL, view
 from market_lens.plans.registry import query
 from market_lens.plans.stats_queries import rounded
 
@@ -236,6 +236,41 @@ def ml_tier_importance(spark, sf_dir):
     return _tier_model(spark, sf_dir).importance
 
 
+# Prices that three columns of few values state exactly: whole trees must give them back on rows that
+# were not trained on.
+_CELLS = """
+c as (select listing_key,
+  case when fuel_type = '汽油' then 40.0 when fuel_type = '电动' then 11.0 else 25.0 end
+  * case when vehicle_type = 'SUV' then 2.0 when vehicle_type = 'MPV' then 1.5 else 1.0 end
+  + case transmission when '自动' then 6.0 else 0.0 end as price_wan from listings)
+"""
+_CELL_TIERS = f"""
+with {_CELLS}, q as (select quantile_cont(price_wan::double, 0.33::double) as q1, quantile_cont(price_wan::double, 0.67::double) as q2 from c),
+t as (select listing_key, case when price_wan <= q1 then '经济型' when price_wan <= q2 then '中档型' else '豪华型' end as actual from c, q)
+"""
+
+
+def _cells(spark, sf_dir):
+    df = _listings(spark, sf_dir).na.fill({"fuel_type": "混动", "vehicle_type": "轿车"})
+    fuel = F.when(F.col("fuel_type") == "汽油", 40.0).when(F.col("fuel_type") == "电动", 11.0).otherwise(25.0)
+    body = F.when(F.col("vehicle_type") == "SUV", 2.0).when(F.col("vehicle_type") == "MPV", 1.5).otherwise(1.0)
+    price = fuel * body + F.when(F.col("transmission") == "自动", 6.0).otherwise(0.0)
+    return df.select("listing_key", F.col("transmission").alias("brand"), "fuel_type", "vehicle_type", price.alias("price_wan"))
+
+
+@query(
+    "ml_price_cells",
+    f"with {_CELLS} select listing_key, cast(price_wan as double) as actual, cast(price_wan as double) as predicted from c where {BUCKET_SQL} = 0",
+)
+def ml_price_cells(spark, sf_dir):
+    return rounded(L.train_price(_cells(spark, sf_dir), _KEYS).predictions, "actual", "predicted")
+
+
+@query("ml_tier_cells", f"{_CELL_TIERS} select listing_key, actual, actual as predicted from t where {BUCKET_SQL} = 0")
+def ml_tier_cells(spark, sf_dir):
+    return L.train_tier(_cells(spark, sf_dir), _KEYS).predictions
+
+
 @query("ml_clusters")
 def ml_clusters(spark, sf_dir):
     return L.cluster(_listings(spark, sf_dir), keep=_KEYS).assigned

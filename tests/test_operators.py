@@ -17,6 +17,7 @@ from market_lens.operators import aggregate as A
 from market_lens.operators import charts as G
 from market_lens.operators import coverage as C
 from market_lens.operators import features as P
+from market_lens.operators import forest as W
 from market_lens.operators import models as L
 from market_lens.operators import profile as R
 from market_lens.operators import quality as Q
@@ -333,7 +334,7 @@ def test_registered_forests_have_full_size_and_are_shared(spark, tmp_path, monke
     ).split()
     for name in names:
         QUERIES[name](spark, str(folder))
-    full = [("price", 100, 30), ("tier", 100, 30)]
+    full = [("price", 100, None), ("tier", 100, None)]
     assert sorted(asked) == sorted(full * 2)  # of all listings, and of one source
     lines = folder / "lineitem.parquet"
     pq.write_table(pq.read_table(lines).slice(0, 3000), lines)
@@ -341,6 +342,93 @@ def test_registered_forests_have_full_size_and_are_shared(spark, tmp_path, monke
     assert len(asked) == 5
 
 
+def _plain_tree(x, w, y, tries=None):
+    """A whole regression tree by the definition: the cut with the least squared error, first feature, lowest cut on a tie."""
+    def leaf_or_split(rows):
+        mean = np.average(y[rows], weights=w[rows])
+        best = None
+        if len(set(y[rows])) > 1:
+            for j in range(x.shape[1]):
+                values = sorted(set(x[rows, j]))
+                for low, high in zip(values, values[1:]):
+                    left = [r for r in rows if x[r, j] <= (low + high) / 2]
+                    right = [r for r in rows if x[r, j] > (low + high) / 2]
+                    cost = sum(np.sum(w[p] * (y[p] - np.average(y[p], weights=w[p])) ** 2) for p in (left, right))
+                    if best is None or cost < best[0] - 1e-9:
+                        best = cost, j, (low + high) / 2, left, right
+        if best is None:
+            return lambda row: mean
+        _, j, cut, left, right = best
+        low, high = leaf_or_split(left), leaf_or_split(right)
+        return lambda row: (low if row[j] <= cut else high)(row)
+
+    return leaf_or_split(list(range(len(y))))
+
+
+@pytest.fixture(scope="module")
+def numbers(spark):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 9, (240, 3)).astype(float)
+    y = x[:, 0] * 3 + (x[:, 1] > 4) * x[:, 2] + rng.normal(size=240).round(3)
+    rows = [(i, *map(float, x[i]), float(y[i])) for i in range(240)]
+    return x, y, materialize(spark.createDataFrame(rows, "_id long, _x0 double, _x1 double, _x2 double, _y double"), "numbers")
+
+
+def _drawn(spark, data, trees):
+    drawn = W._copies(data, trees, 42, ["_id"]).collect()
+    weights = np.zeros((trees, data.count()))
+    for r in drawn:
+        weights[r["_tree"], r["_id"]] = r["_w"]
+    return weights
+
+
+def test_forest_like_plain_trees_whatever_the_size_of_a_unit(spark, numbers):
+    """One task for each tree, large nodes split by aggregates, and a plain recursion agree."""
+    x, y, data = numbers
+    weights = _drawn(spark, data, 3)
+    assert 0.8 < weights.mean() < 1.2
+    plain = np.zeros(len(y))
+    for w in weights:
+        used = np.flatnonzero(w)
+        tree = _plain_tree(x[used], w[used], y[used])
+        plain += [tree(row) / 3 for row in x]
+    for unit in (10_000, 60):
+        fitted = W.fit(data, 3, n_trees=3, unit_rows=unit)
+        assert bool(fitted.levels) == (unit == 60)
+        found = {r["_id"]: r["value"][0] for r in fitted.predict(data).collect()}
+        assert [found[i] for i in range(len(y))] == pytest.approx(plain.tolist())
+        assert sum(fitted.importances()) == pytest.approx(1)
+
+
+def test_forest_edges(spark, numbers):
+    _, y, data = numbers
+    cut = W.fit(data, 3, n_trees=2, max_depth=2)
+    assert all(len(r["feature"]) <= 7 for r in cut.parts.collect())
+    shallow = W.fit(data, 3, n_trees=2, max_depth=1, unit_rows=20)
+    assert shallow.predict(data).count() == 240 and len(shallow.levels) == 1
+    same = data.select("_id", *[F.lit(1.0).alias(f"_x{i}") for i in range(3)], "_y")  # nothing can split these
+    for unit in (10_000, 20):
+        fitted = W.fit(same, 3, n_trees=4, unit_rows=unit)
+        assert {len(r["feature"]) for r in fitted.parts.collect()} == {1} and fitted.importances() == [0.0] * 3
+        values = {round(r["value"][0], 9) for r in fitted.predict(same).collect()}
+        assert len(values) == 1 and abs(values.pop() - y.mean()) < 1
+    with pytest.raises(ValueError):
+        W.fit(data.limit(0), 3)
+    classes = data.withColumn("_y", (F.col("_x0") > 4).cast("double"))
+    for unit in (10_000, 60):
+        fitted = W.fit(classes, 3, n_classes=2, n_trees=5, tries=1, unit_rows=unit)
+        shares = {r["_id"]: r["value"] for r in fitted.predict(classes).collect()}
+        hits = [(shares[r["_id"]][1] > 0.5) == (r["_y"] == 1) for r in classes.collect()]
+        assert np.mean(hits) > 0.9 and all(sum(v) == pytest.approx(1) for v in shares.values())
+
+
+@pytest.mark.parametrize("name", ["ml_price_predictions", "ml_tier_predictions"])
+def test_registered_forests_return_their_test_split(spark, sf_dir, name):
+    rows = QUERIES[name](spark, sf_dir).collect()
+    _, test = P.split(view(spark, sf_dir, "listings"), ["listing_key"])
+    assert len(rows) == test.count() and all(r["predicted"] is not None for r in rows)
+
+
 def test_label_codes(spark):
     df = spark.createDataFrame([("宝马",), ("Jeep",), (None,), ("宝骏",), ("奥迪",), ("宝马",)], "brand string")
     codes = {r["label"]: r["code"] for r in P.fit_labels(df, ["brand"]).collect()}
