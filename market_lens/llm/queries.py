@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from market_lens.llm import chat, chunk_dedup, decontaminate, kd_topk, lang_crf, piece_bpe, quality, simhash, toxicity, warc
+from market_lens.llm import chat, chunk_dedup, decontaminate, kd_topk, lang_crf, phrases, piece_bpe, quality, simhash, toxicity, warc
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,6 +140,41 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+OP13_SQL = r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from p),
+g as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as phrase
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from w, (select unnest([1, 2, 3, 4]) as k) where len(w) >= k)),
+f as (select lang, k, phrase, count(*) as f from g group by all),
+t as (select lang, cast(sum(f) as bigint) as n from f where k = 1 group by lang),
+c as (select lang, k, phrase, f as a, string_split(phrase, ' ') as w from f where k > 1 and f >= 30),
+cut as (
+  select lang, phrase, a, j, array_to_string(w[1:j], ' ') as head, array_to_string(w[j + 1:], ' ') as tail
+  from (select *, unnest(range(1, k)) as j from c)),
+s as (
+  select cut.*, h.f as l, e.f as r, cast(2000000::hugeint * a // (h.f::hugeint + e.f) as bigint) as score
+  from cut join f h on h.lang = cut.lang and h.phrase = head join f e on e.lang = cut.lang and e.phrase = tail),
+best as (select * from s qualify row_number() over (partition by lang, phrase order by score, j) = 1),
+inside as (
+  select lang, array_to_string(w[i:i + z - 1], ' ') as phrase, max(a) as outside
+  from (select lang, w, a, k, z, unnest(range(1, k - z + 2)) as i from c, (select unnest([2, 3]) as z) where z < k) group by all),
+kept as (
+  select best.* from best left join inside using (lang, phrase)
+  where outside is null or 100::hugeint * outside < 80::hugeint * a)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from kept join t using (lang) qualify rank <= 2000
+"""
+
+
+@query("op13_phrases", OP13_SQL)
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 if corpus_pipeline.ORACLE_SQL is not None:
     CHECKS["pipeline"] = corpus_pipeline.ORACLE_SQL
 QUERIES["pipeline"] = corpus_pipeline.run
