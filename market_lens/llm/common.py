@@ -39,6 +39,12 @@ def ascii_lower(text: Column) -> Column:
     return F.when(plain, F.lower(text)).otherwise(F.translate(text, string.ascii_uppercase, string.ascii_lowercase))
 
 
+def tasks(df: DataFrame) -> int:
+    """Tasks for rows that cost more than their bytes: as many as the session's shuffles, or as its cores."""
+    spark = df.sparkSession
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """Rows of equal ``key`` out of batches that are sorted by it. Holds one run at a time."""
     held: list[pa.RecordBatch] = []

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from market_lens.llm import chat, chunk_dedup, decontaminate, kd_topk, lang_crf, phrases, piece_bpe, quality, simhash, toxicity, warc
+from market_lens.llm import chat, chunk_dedup, decontaminate, fertility, kd_topk, lang_crf, phrases, piece_bpe, prefix_trie, quality, simhash, toxicity, warc
 from market_lens.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,6 +140,49 @@ def quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# CRC-32 bit by bit over the decimal digits.
+_CRC32 = """xor(4294967295::ubigint, list_reduce(
+  list_prepend(4294967295::ubigint, list_transform(string_split(cast(c as varchar), ''), lambda x: cast(ascii(x) as ubigint))),
+  lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0, 0, 0, 0, 0, 0, 0, 0]::ubigint[]),
+    lambda a, i: xor(a >> 1, 3988292384::ubigint * (a & 1::ubigint)))))"""
+OP11_SQL = f"""
+with t as (
+  select conv_id as c, md5(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as id,
+    strlen(coalesce(text, '')) as size, row_number() over (partition by conv_id order by turn nulls first) as i
+  from conversations where conv_id is not null),
+k as (select c, c - c % 5 as b, cast({_CRC32} % 9 as bigint) as h, list(id order by i) as ids, list(size order by i) as sizes from t group by c),
+r as (
+  select k.c, list_concat(coalesce(g.ids, [])[1:k.h], k.ids[k.h + 1:]) as ids,
+    list_concat(coalesce(g.sizes, [])[1:k.h], k.sizes[k.h + 1:]) as sizes
+  from k left join k g on g.c = k.b),
+p as (
+  select c, d, md5(array_to_string(ids[1:d], '')) as node, case when d > 0 then md5(array_to_string(ids[1:d - 1], '')) end as parent,
+    case when d > 0 then sizes[d] else 0 end as size, d = len(ids) as ended
+  from (select *, unnest(range(0, len(ids) + 1)) as d from r)),
+n as (
+  select node, d, any_value(parent) as parent, any_value(size) as size, min(c) as conv, count(*) as n,
+    sha256(coalesce(string_agg(cast(c as varchar), ',' order by c) filter (ended), '')) as ends_sha256
+  from p group by node, d),
+kids as (select parent as node, count(*) as n_children from n where parent is not null group by parent),
+below as (
+  select p.node, count(*) filter (kids.node is null) as n_leaves, sum((v.n - 1) * v.size) as saved
+  from n v left join kids on kids.node = v.node join p on p.c = v.conv and p.d <= v.d group by p.node)
+select n.conv as conv_id, n.d as depth, u.conv as parent_conv_id, n.n as n_convs, coalesce(n_children, 0) as n_children,
+  n_leaves, cast(saved as bigint) as saved_tokens, n.ends_sha256
+from n left join n u on u.node = n.parent left join kids on kids.node = n.node join below on below.node = n.node
+"""
+
+
+@query("op11_prefix_trie", OP11_SQL)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op12_fertility")
+def fertility_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fertility.verdicts(table(spark, sf_dir, "documents"), PIECE_MODEL)
+
+
 OP13_SQL = r"""
 with p as (
   select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
