@@ -5,7 +5,8 @@ between languages are learned together by gradients of the log-likelihood from
 forward-backward. Training sequences are made of snippets of documents in several
 languages, so the transitions see switches. A text's words are labelled by
 forward-backward over the whole text, block by block: transfer matrices of blocks give the
-messages at their edges, so that many words are done at once and long texts cost no more.
+messages at their edges, so that many words are done at once and a text's cost grows with its length.
+A word is a run of letters; a longer run is cut into words of ``LONGEST_WORD`` letters, each with its own vote.
 """
 
 from __future__ import annotations
@@ -23,16 +24,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from market_lens.llm.common import free_name, held_out, pieces, sample_by_hash
+from market_lens.sources.scratch import materialize
 
-WORD = re.compile(r"[^\W\d_]+")
+LONGEST_WORD = 64
+WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 BUCKETS = 1 << 17
 BLOCK = 64
 UNKNOWN = "und"
-#: Bounds of what the model is fitted on: documents of each language, and characters of each.
+#: Default bounds of what a model is fitted on: documents of each language, and characters of each.
 DOCS_PER_LANGUAGE = 500
 CHARS_PER_DOC = 3000
 LEXICON = 5000
-REMEMBER = 500_000
+REMEMBER = 200_000
 
 
 def words_of(text: str) -> list[str]:
@@ -54,7 +57,6 @@ _BUCKETS = _Buckets()
 
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
     """Buckets of a word's features: prefixes and suffixes up to 4, 2- and 3-grams, and the word if it is in the lexicon."""
-    word = word if len(word) <= 64 else word[:32] + word[-32:]
     edged = f"^{word}$"
     names = ["bias", *[f"<{word[:k]}" for k in range(1, 5)], *[f">{word[-k:]}" for k in range(1, 5)]]
     names += [edged[k : k + 2] for k in range(len(edged) - 1)]
@@ -200,14 +202,15 @@ def label_shares(model: Model, emission: np.ndarray, sizes: np.ndarray) -> np.nd
             if t % 8 == 7:
                 whole[:m] /= whole[:m].max(axis=(1, 2), keepdims=True)
     before, after = np.full((n, k), 1.0 / k), np.ones((n, k))
-    for j in range(1, int(blocks.max(initial=0))):
-        here = rank[np.flatnonzero(ordinal == j)]
-        left = rank[np.flatnonzero(ordinal == j) - 1]
+    by_place = np.argsort(ordinal, kind="stable")  # first blocks, then second ones, …
+    ends = np.cumsum(np.bincount(ordinal)) if n else np.zeros(0, np.int64)
+    later = [by_place[ends[j - 1] : ends[j]] for j in range(1, len(ends))]
+    for at in later:
+        here, left = rank[at], rank[at - 1]
         message = np.einsum("nk,nkl->nl", before[left], whole[left])
         before[here] = message / message.sum(axis=1, keepdims=True)
-    for j in range(int(blocks.max(initial=0)) - 2, -1, -1):
-        at = np.flatnonzero((ordinal == j) & (np.repeat(blocks, blocks) > j + 1))
-        here, right = rank[at], rank[at + 1]
+    for at in reversed(later):
+        here, right = rank[at - 1], rank[at]
         message = np.einsum("nkl,nl->nk", whole[right], after[right])
         after[here] = message / message.sum(axis=1, keepdims=True)
 
@@ -228,21 +231,29 @@ def label_shares(model: Model, emission: np.ndarray, sizes: np.ndarray) -> np.nd
 
 
 class Scorer:
-    """Labels texts and remembers the emissions of words."""
+    """Labels texts and remembers the emissions of words, in two generations: a word that is met again outlives one."""
 
     def __init__(self, model: Model | None):
         self.model = model
         self.ids: dict[str, int] = {}
         self.table = np.zeros((1024, len(model.labels) if model else 1), np.float32)
+        self.older = self.ids, self.table
 
     def _numbers(self, words: list[str]) -> np.ndarray:
+        if len(self.ids) > REMEMBER:
+            self.older, self.ids, self.table = (self.ids, self.table), {}, np.zeros_like(self.table)
         ids = self.ids
-        new = list(set(words).difference(ids))
-        if new:
-            while len(ids) + len(new) > len(self.table):
+        missing = set(words).difference(ids)
+        if missing:
+            old_ids, old_table = self.older
+            kept = [w for w in missing if w in old_ids]
+            new = list(missing.difference(kept)) if kept else list(missing)
+            while len(ids) + len(missing) > len(self.table):
                 self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-            self.table[len(ids) : len(ids) + len(new)] = self.model.emissions(new)
-            for w in new:
+            at = len(ids)
+            self.table[at : at + len(kept)] = old_table[[old_ids[w] for w in kept]]
+            self.table[at + len(kept) : at + len(missing)] = self.model.emissions(new)
+            for w in chain(kept, new):
                 ids[w] = len(ids)
         return np.fromiter(map(ids.__getitem__, words), np.int64, len(words))
 
@@ -251,8 +262,6 @@ class Scorer:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if self.model is None:
             return names, scores
-        if len(self.ids) > REMEMBER:
-            self.ids.clear()
         said, sizes, rows = [], [], []
         for row, text in enumerate(texts):
             words = words_of(text)
@@ -271,19 +280,28 @@ class Scorer:
 
 
 def sample(docs: DataFrame, id: str, text: str, lang: str, most_docs: int, most_chars: int) -> list[tuple[str, str]]:
-    """At most ``most_docs`` documents of each language, by hash of the id, and a stretch of each from a hashed place."""
+    """At most ``most_docs`` different documents of each language, and a stretch of each from a hashed place.
+
+    A document is an id with a text: rows that repeat count once, and rows that share an id are drawn one by one.
+    The drawn keys are written, so Spark knows that they are few and doesn't shuffle the texts to meet them.
+    """
     usable = ~held_out(id) & F.col(lang).isNotNull() & F.col(text).isNotNull()
-    thin = docs.where(usable).select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"))
-    chosen = sample_by_hash(thin, "lang", most_docs).select("doc_id").distinct()
+    key = F.xxhash64(id, text).alias("key")
+    thin = docs.where(usable).select(key, F.col(lang).alias("lang")).distinct()
+    chosen = materialize(sample_by_hash(thin, "lang", most_docs, "key"), "drawn")
     place = F.pmod(F.xxhash64(id), F.greatest(F.lit(1), F.char_length(text) - most_chars)).cast("int") + 1
     part = F.substring(F.col(text), place, F.lit(most_chars))
-    rows = docs.where(usable).select(F.col(id).alias("doc_id"), F.col(lang).alias("lang"), part.alias("part"))
-    return [(r["part"], r["lang"]) for r in rows.join(chosen, "doc_id", "left_semi").select("part", "lang").collect()]
+    rows = docs.where(usable).select(key, F.col(lang).alias("lang"), part.alias("part"))
+    found = rows.join(chosen, ["key", "lang"], "left_semi").groupBy("key", "lang").agg(F.min("part").alias("part"))
+    return [(r["part"], r["lang"]) for r in found.collect()]
 
 
-def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> Model | None:
-    """A model from the documents of ``docs`` that are not held out and have a language."""
-    return fit(sample(docs, id, text, lang, DOCS_PER_LANGUAGE, CHARS_PER_DOC))
+def learn(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", most_docs: int = DOCS_PER_LANGUAGE, most_chars: int = CHARS_PER_DOC
+) -> Model | None:
+    """A model from documents of ``docs`` that are not held out and have a language: of each, at most ``most_docs``
+    documents and ``most_chars`` characters of a document are drawn by hash."""
+    return fit(sample(docs, id, text, lang, most_docs, most_chars))
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -300,7 +318,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
         score = Scorer(held.value)
         for batch in batches:
             names, shares = [], []
-            for part in pieces(batch):
+            for part in pieces(batch, 1 << 20):
                 got = score([t or "" for t in part.to_pylist()])
                 names += got[0]
                 shares += got[1]
@@ -312,12 +330,14 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFr
     return done.select(*docs.columns, *[F.col(result)[k].alias(v) for k, v in names.items()])
 
 
-def predictions(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+def predictions(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", most_docs: int = DOCS_PER_LANGUAGE, most_chars: int = CHARS_PER_DOC
+) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for every row of ``docs``.
 
-    Learned from the rows that are not held out; rows without an id are held out.
+    Learned from the rows that are not held out, within the bounds of ``learn``; rows without an id are held out.
     """
-    model = learn(docs, id, text, lang)
+    model = learn(docs, id, text, lang, most_docs, most_chars)
     thin = docs.select(F.col(id).alias("doc_id"), held_out(id).alias("held_out"), F.col(text).alias("text"))
     return identify(thin, model).drop("text")
 

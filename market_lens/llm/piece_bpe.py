@@ -26,9 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-#: Words and pairs that a Python worker remembers; beyond it the memory starts anew.
-REMEMBER = 300_000
+#: Words and pairs that a Python worker remembers. A word that is asked for again outlives the next
+#: generation; so frequent words stay when the memory is full.
+REMEMBER = 250_000
 LONGEST_REMEMBERED = 64
+_MARK = "!"
 
 
 class PieceBpe:
@@ -51,7 +53,7 @@ class PieceBpe:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.found = ahocorasick.Automaton()
         for p in self.ids:
-            self.found.add_word(p, p)
+            self.found.add_word(p, (len(p) - 1, p))
         self.found.make_automaton()
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.ids), None) for p in self.ids}
         # Only runs of spaces may hold a space after the first character: else words can't be cut apart there.
@@ -62,7 +64,9 @@ class PieceBpe:
         #: Where no piece reaches across: before a run of spaces, and around characters that no piece has.
         self.words = re.compile(f"{SPACE}+[^{SPACE}{breaks}]*|[^{SPACE}{breaks}]+" + (f"|[{breaks}]" if breaks else ""))
         self.compatible: dict[tuple[str, str], bool] = {}
-        self.known: dict[str, tuple[str, int]] = {}
+        #: Words and their ids in decimals; marked where the ids decode to another text than the word's.
+        self.known: dict[str, str] = {}
+        self.older: dict[str, str] = {}
 
     def merged(self, text: str) -> list[str]:
         """The merges themselves, best pair first: only for two tokens at a time."""
@@ -88,8 +92,8 @@ class PieceBpe:
     def split(self, text: str) -> list[str]:
         """Pieces of a text; a character that no piece has stands for itself."""
         longest: list[str | None] = [None] * len(text)
-        for end, piece in self.found.iter(text):
-            longest[end - len(piece) + 1] = piece  # later matches of a start are longer
+        for end, (back, piece) in self.found.iter(text):
+            longest[end - back] = piece  # later matches of a start are longer
         out: list[str] = []
         failed = bytearray(len(text) // 8 + 1)
         at, piece = 0, longest[0] if text else None
@@ -136,6 +140,12 @@ class PieceBpe:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: bytes that are no UTF-8 become U+FFFD; the first space of a text is dropped."""
+        text = self.shown_text(ids)
+        starts_with_space = bool(ids) and self.pieces[ids[0]].startswith(SPACE)
+        return text[1:] if starts_with_space else text
+
+    def shown_text(self, ids: list[int]) -> str:
+        """The text of ids with its first space."""
         out: list[str] = []
         pending = bytearray()
         for i in ids:
@@ -148,20 +158,42 @@ class PieceBpe:
             out.append(self.shown[i])
         if pending:
             out.append(_utf8(pending))
-        text = "".join(out)
-        starts_with_space = bool(ids) and self.pieces[ids[0]].startswith(SPACE)
-        return text[1:] if starts_with_space else text
+        return "".join(out)
 
-    def remembered(self, word: str) -> tuple[str, int]:
-        """A word's ids in decimals, each with a comma after it, and how many they are."""
-        if (known := self.known.get(word)) is None:
-            if len(self.known) >= REMEMBER:
-                self.known.clear()
+    def _listed(self, word: str) -> str:
+        """A word's ids in decimals, joined by commas, with a mark ahead if they decode to another text than the word's."""
+        listed = self.known.get(word) or self.older.get(word)
+        if listed is None:
             ids = self.encode_word(word)
-            known = ("".join(f"{i}," for i in ids), len(ids))
-            if len(word) <= LONGEST_REMEMBERED:
-                self.known[word] = known
-        return known
+            listed = ",".join(map(str, ids))
+            if self.shown_text(ids) != word.replace(SPACE, " "):
+                listed = _MARK + listed
+            if len(word) > LONGEST_REMEMBERED:
+                return listed
+        if len(self.known) >= REMEMBER:
+            self.known, self.older = {}, self.known
+        self.known[word] = listed
+        return listed
+
+    def recalled(self, words: list[str]) -> tuple[str, int, str]:
+        """The ids of words that follow each other, how many they are, and the text they decode to.
+
+        No piece or byte sequence reaches from a word into the next, so the texts of a text's words, one after the
+        other, are its decoded text but for its first space.
+        """
+        get = self.known.get
+        found = [get(w) or self._listed(w) for w in words]
+        listed = ",".join(found)
+        shown = "".join(words).replace(SPACE, " ")
+        if _MARK in listed:
+            found = [x.removeprefix(_MARK) for x in found]
+            listed = ",".join(found)
+            shown = "".join(self.shown_text(list(map(int, x.split(",")))) for x in found)
+        return listed, listed.count(",") + 1, shown
+
+    def remembered(self, word: str) -> tuple[str, int, str]:
+        """``recalled`` of one word."""
+        return self.recalled([word])
 
 
 def _utf8(data: bytes) -> str:
@@ -219,17 +251,11 @@ def round_trip(docs: DataFrame, path: str, id: str = "doc_id", text: str = "text
             for value in batch.column(1):
                 n, digest, back = 0, hashlib.sha256(), hashlib.sha256()
                 words = model.cut(value.as_py() or "")
-                first = True
                 for start in range(0, len(words), 1 << 14):  # bounds the memory of a long text
-                    some = [model.remembered(w) for w in words[start : start + (1 << 14)]]
-                    n += sum(k for _, k in some)
-                    listed = "".join(s for s, _ in some)[:-1]
-                    digest.update((listed if first else f",{listed}").encode())
-                    plain = model.decode([int(i) for i in listed.split(",")])
-                    if not first and words[start].startswith(SPACE):
-                        plain = f" {plain}"  # only a text's first space is dropped
-                    back.update(plain.encode())
-                    first = False
+                    listed, some, shown = model.recalled(words[start : start + (1 << 14)])
+                    n += some
+                    digest.update((f",{listed}" if start else listed).encode())
+                    back.update((shown if start else shown[1:]).encode())  # every text starts with a space of its own
                 sizes.append(n)
                 ids.append(digest.hexdigest())
                 texts.append(back.hexdigest())
