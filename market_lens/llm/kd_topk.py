@@ -24,8 +24,14 @@ BLOCK_QUERIES = 1024
 LEAF = 64
 
 
+#: What a component or a score can be at most, either way: whatever lies beyond counts as that much.
+LARGEST = (1 << 63) - 1025
+
+
 def quantized(vector: Column, scale: int = 64) -> Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
+    """Components times ``scale``, rounded down to long integers, or the largest ones."""
+    most = float(LARGEST)
+    return F.transform(vector, lambda x: F.floor(F.least(F.greatest(x.cast("double") * scale, F.lit(-most)), F.lit(most))))
 
 
 def usable(vector: Column) -> Column:
@@ -91,7 +97,7 @@ class Tree:
             points, lows, highs, queries = (x.astype(np.float64) for x in (points, lows, highs, queries))
         else:
             points, lows, highs, queries = (x.astype(object) for x in (points, lows, highs, queries))
-        bounds = np.maximum(queries, 0) @ highs.T + np.minimum(queries, 0) @ lows.T
+        bounds = _clamped(np.maximum(queries, 0) @ highs.T + np.minimum(queries, 0) @ lows.T)
         nodes = self.nodes.tolist()
         for row, query in enumerate(queries):
             bound = bounds[row].tolist()
@@ -108,7 +114,7 @@ class Tree:
                         if least is None or bound[child] >= least:
                             heapq.heappush(todo, (-bound[child], child))
                     continue
-                scores = points[start:end] @ query
+                scores = _clamped(points[start:end] @ query)
                 able = self.ids[start:end] != own[row]
                 if least is not None:
                     able &= (scores >= least).astype(bool)
@@ -123,6 +129,11 @@ class Tree:
             yield row, [-i for _, i in best], [s for s, _ in best]
 
 
+def _clamped(scores: np.ndarray) -> np.ndarray:
+    """Scores of Python integers, cut to what a long holds; doubles are far below."""
+    return np.minimum(np.maximum(scores, -LARGEST), LARGEST) if scores.dtype == object else scores
+
+
 def _wider(rows: np.ndarray, width: int) -> np.ndarray:
     return np.pad(rows, ((0, 0), (0, width - rows.shape[1])))
 
@@ -176,7 +187,8 @@ def top_k(
     Both tables hold vectors of long integers. Rows without an id or a vector take no part; a row isn't its own
     query's candidate, nor is any row with the same id. Ties go to the smaller id; rows that
     repeat are candidates each, queries that repeat (same id and vector) are one query.
-    Shorter vectors count as padded with zeros. Fewer candidates than ``k`` give fewer rows.
+    Shorter vectors count as padded with zeros. Scores are exact up to ``LARGEST`` either way; beyond it they count as
+    equal. Fewer candidates than ``k`` give fewer rows.
     """
     known = vectors.select(F.col(id).alias("id"), F.col(vector).alias("v")).where("id is not null and v is not null")
     asked = queries.select(F.col(id).alias("query_id"), F.col(vector).alias("v")).where("query_id is not null and v is not null")

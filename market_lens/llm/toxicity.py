@@ -1,17 +1,19 @@
 """Toxicity by weak supervision.
 
-Voters are words (lexicon) and beginnings of words (patterns) that stand out in toxic rows
-of a labelled sample, and voters that find none of a part of them. A generative label model
-estimates by expectation maximisation how each vote depends on the unknown class, and from
-the votes' correlations within a class how much of a vote is news. Its posterior labels of the sample, rows
-without a label included, train a sparse linear classifier, and that scores every text.
+Voters are words (lexicon) and beginnings of words (patterns) that stand out in toxic documents,
+and voters that find none of a part of them. Every document that isn't held out counts: words and
+beginnings are counted by class over all labelled ones, and all of them vote. A generative label model
+estimates by expectation maximisation over the counts of vote patterns how each vote depends on the
+unknown class, and from the votes' correlations within a class how much of a vote is news. Its posterior
+labels train a sparse linear classifier on a bounded sample; a voter too rare for the sample keeps
+the label model's evidence as its weight. The classifier scores every text.
 """
 
 from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -19,17 +21,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from market_lens.llm.common import held_out, pieces, sample_by_hash
+from market_lens.sources.scratch import materialize
 
 WORD = re.compile(r"[^\W\d_]+")
 BUCKETS = 1 << 20
 STEMS = (3, 4, 5, 6, 7, 8)
-#: Bounds of what is fitted on: rows of each label and rows without one, by hash of their id.
+#: Default bounds of the classifier's sample: rows of each label and rows without one.
 TOXIC_ROWS, OTHER_ROWS, UNLABELLED_ROWS = 2000, 3000, 1500
 VOTERS = 240
-#: Columns of the classifier: those that differ most between the classes.
+#: Columns of the classifier besides the voters: those that differ most between the classes.
 COLUMNS = 3000
 NONE_FOUND = 4
-REMEMBER = 300_000
+ROUNDS = 24
+REMEMBER = 200_000
+_BLOCK = 1 << 14
 
 
 def features(word: str) -> list[int]:
@@ -42,211 +47,320 @@ def words_of(text: str | None) -> set[str]:
     return set(WORD.findall((text or "").lower()))
 
 
-def text_features(text: str | None) -> np.ndarray:
-    return np.array(sorted({f for w in words_of(text) for f in features(w)}), np.int32)
+class Reader:
+    """Buckets of texts, of all or of the wanted ones; remembers those of words."""
 
+    def __init__(self, wanted: frozenset[int] | None = None):
+        self.wanted = wanted
+        self.known: dict[str, tuple[int, ...]] = {}
 
-class Rows:
-    """Sets of buckets, with the buckets numbered that occur in ``least`` rows or more."""
-
-    def __init__(self, sets: list[np.ndarray], least: int = 3):
-        self.n = len(sets)
-        flat = np.concatenate([*sets, np.zeros(0, np.int32)])
-        found, count = np.unique(flat, return_counts=True)
-        self.buckets = found[count >= least]
-        number = np.full(BUCKETS, -1, np.int32)
-        number[self.buckets] = np.arange(len(self.buckets), dtype=np.int32)
-        column = number[flat]
-        on = column >= 0
-        self.row = np.repeat(np.arange(self.n, dtype=np.int32), [len(s) for s in sets])[on]
-        self.column = column[on]
-
-    def totals(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.column, values[self.row], len(self.buckets))
+    def __call__(self, text: str | None) -> np.ndarray:
+        known, found = self.known, set()
+        for word in words_of(text):
+            if (hit := known.get(word)) is None:
+                if len(known) >= REMEMBER:
+                    known.clear()
+                hit = features(word)
+                hit = known[word] = tuple(hit if self.wanted is None else [f for f in hit if f in self.wanted])
+            if hit:
+                found.update(hit)
+        return np.array(sorted(found), np.int32)
 
 
-def choose_voters(rows: Rows, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """Columns that tell toxic rows from others best: by the lower bound of their precision against the base rate.
+def choose_voters(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
+    """Buckets that tell toxic rows from others best: by the lower bound of their precision against the base rate.
 
-    ``labels`` are 1, 0, or -1 for rows without one.
+    ``toxic`` and ``other`` count the rows of each class that hold a bucket.
     """
-    toxic = rows.totals((labels == 1).astype(float))
-    other = rows.totals(np.where(labels == 0, weights, 0.0)) / max(weights[labels == 0].mean(), 1e-9) if (labels == 0).any() else 0 * toxic
     n = toxic + other
     share = (toxic + 0.5) / (n + 1)
     lower = share - 1.64 * np.sqrt(share * (1 - share) / (n + 1))
-    base = (labels == 1).sum() / max(1, (labels >= 0).sum())
+    base = n_toxic / max(1, n_toxic + n_other)
     able = np.flatnonzero((toxic >= 3) & (lower > min(0.95, 2 * base)))
-    return able[np.lexsort((rows.buckets[able], -(lower * np.log1p(toxic))[able]))][:VOTERS]
-
-
-def votes_of(rows: Rows, voters: np.ndarray) -> np.ndarray:
-    """1: toxic, 0: not toxic, -1: no vote. The last columns vote 0 if none of a part of the voters is found."""
-    place = np.full(len(rows.buckets), -1)
-    place[voters] = np.arange(len(voters))
-    on = place[rows.column] >= 0
-    found = np.zeros((rows.n, len(voters)), bool)
-    found[rows.row[on], place[rows.column[on]]] = True
-    none = [~found[:, k::NONE_FOUND].any(axis=1) for k in range(min(NONE_FOUND, len(voters)))]
-    negative = np.stack(none, axis=1) if none else np.zeros((rows.n, 0), bool)
+    return able[np.lexsort((able, -(lower * np.log1p(toxic))[able]))][:VOTERS]
+
+
+def telling(toxic: np.ndarray, other: np.ndarray, n_toxic: int, n_other: int) -> np.ndarray:
+    """The ``COLUMNS`` buckets whose shares of the classes differ by most standard errors, 4 at least."""
+    share = (toxic + other) / max(1, n_toxic + n_other)
+    error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / max(n_toxic, 1) + 1 / max(n_other, 1)))
+    z = np.abs(toxic / max(n_toxic, 1) - other / max(n_other, 1)) / error
+    order = np.lexsort((np.arange(len(z)), -z))[:COLUMNS]
+    return np.sort(order[(z[order] >= 4) & ((toxic + other)[order] >= 3)])
+
+
+def votes_of(found: np.ndarray) -> np.ndarray:
+    """1: toxic, 0: not toxic, -1: no vote, from which voters (columns) each row has. The last columns vote 0 if none
+    of a part of the voters is found."""
+    n, voters = found.shape
+    none = [~found[:, k::NONE_FOUND].any(axis=1) for k in range(min(NONE_FOUND, voters))]
+    negative = np.stack(none, axis=1) if none else np.zeros((n, 0), bool)
     return np.concatenate([np.where(found, 1, -1), np.where(negative, 0, -1)], axis=1).astype(np.int8)
 
 
-def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: int = 30) -> tuple[np.ndarray, dict]:
-    """Posterior probabilities that rows are toxic, and what was estimated of the voters.
+def posterior_of(votes: np.ndarray, prior: float, state: dict | None) -> np.ndarray:
+    """How likely rows are toxic: by the majority of their votes, or by what was estimated of the voters."""
+    if state is None:
+        toxic, clean = (votes == 1).sum(axis=1), (votes == 0).sum(axis=1)
+        return np.clip((toxic + prior) / (toxic + clean + 1), 0.01, 0.99)
+    rates, news = state["rates"], state["news"]
+    cast = (votes >= 0).astype(float)
+    evidence = cast @ (news * (np.log(rates[1]) - np.log(rates[0])))
+    evidence += (1 - cast) @ (news * (np.log(1 - rates[1]) - np.log(1 - rates[0])))
+    return 1 / (1 + np.exp(-np.clip(evidence + np.log(prior) - np.log(1 - prior), -30, 30)))
 
-    A voter votes in a share of the rows of each class (its accuracy follows); the share is
-    started from the majority of votes and refined with the posterior. A voter's evidence
-    is divided by one plus its correlations with the others within the classes.
-    """
+
+def moments(votes: np.ndarray, weights: np.ndarray, prior: float, state: dict | None, pairs: bool) -> np.ndarray:
+    """For each class the weight of the rows, of each vote, and (with ``pairs``) of each two votes, in one flat array."""
     cast = (votes >= 0).astype(float)
-    toxic_votes, clean_votes = (votes == 1).sum(axis=1), (votes == 0).sum(axis=1)
-    posterior = np.clip((toxic_votes + prior) / (toxic_votes + clean_votes + 1), 0.01, 0.99)
-    news = np.ones(votes.shape[1])
-    rates = np.zeros((2, votes.shape[1]))
+    p = posterior_of(votes, prior, state)
+    parts = []
+    for soft in (1 - p, p):
+        w = soft * weights
+        parts += [np.array([w.sum()]), w @ cast]
+        if pairs:
+            parts.append(((cast * w[:, None]).T @ cast).ravel())
+    return np.concatenate(parts)
+
+
+def estimate(n_votes: int, prior: float, gather: Callable[[dict | None, bool], np.ndarray], rounds: int = ROUNDS) -> dict:
+    """``rates`` (in which share of each class a voter votes; its accuracy follows) and ``news`` of the voters.
+
+    A round gathers the moments of all rows under the last estimate. A voter's evidence is divided by one plus its
+    correlations with the others within the classes.
+    """
+    state, news = None, np.ones(n_votes)
     for r in range(rounds):
-        for y, p in enumerate((1 - posterior, posterior)):
-            w = p * weights
-            rates[y] = (w @ cast + 0.1) / (w.sum() + 1.0)
-        if r in (rounds // 3, 2 * rounds // 3):
-            news = 1 / (1 + _correlations(cast, posterior, weights, rates))
-        rates = np.clip(rates, 1e-4, 1 - 1e-4)
-        evidence = cast @ (news * (np.log(rates[1]) - np.log(rates[0])))
-        evidence += (1 - cast) @ (news * (np.log(1 - rates[1]) - np.log(1 - rates[0])))
-        logit = np.clip(evidence + np.log(prior) - np.log(1 - prior), -30, 30)
-        posterior = 1 / (1 + np.exp(-logit))
-    return posterior, {"rates": rates, "news": news}
-
-
-def _correlations(cast: np.ndarray, posterior: np.ndarray, weights: np.ndarray, rates: np.ndarray) -> np.ndarray:
-    """For each voter the sum of its positive correlations, within the classes, with all others."""
-    total = np.zeros((cast.shape[1], cast.shape[1]))
-    for y, p in enumerate((1 - posterior, posterior)):
-        centred = cast - rates[y]
-        total += (centred * (p * weights)[:, None]).T @ centred
+        pairs = r in (rounds // 3, 2 * rounds // 3)
+        sums = gather(state, pairs).reshape(2, -1)
+        total, votes = sums[:, 0], sums[:, 1 : n_votes + 1]
+        rates = (votes + 0.1) / (total[:, None] + 1.0)
+        if pairs:
+            both = sums[:, n_votes + 1 :].reshape(2, n_votes, n_votes)
+            centred = [both[y] - np.outer(votes[y], rates[y]) - np.outer(rates[y], votes[y]) + total[y] * np.outer(rates[y], rates[y]) for y in (0, 1)]
+            news = 1 / (1 + _correlations(centred[0] + centred[1]))
+        state = {"rates": np.clip(rates, 1e-4, 1 - 1e-4), "news": news}
+    return state
+
+
+def _correlations(total: np.ndarray) -> np.ndarray:
+    """For each voter the sum of its positive correlations with all others."""
     spread = np.sqrt(np.maximum(np.diag(total), 1e-9))
     corr = total / np.outer(spread, spread)
     np.fill_diagonal(corr, 0)
     return np.where(corr > 0.2, corr, 0).sum(axis=1)
 
 
-def telling(rows: Rows, labels: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """The ``COLUMNS`` columns whose shares of the classes (by soft labels) differ by most standard errors, 4 at least."""
-    toxic, clean = labels * weights, (1 - labels) * weights
-    in_toxic, in_clean = rows.totals(toxic) / toxic.sum(), rows.totals(clean) / max(clean.sum(), 1e-9)
-    share = rows.totals(weights) / weights.sum()
-    n = labels.sum(), (1 - labels).sum()
-    error = np.sqrt(np.maximum(share * (1 - share), 1e-9) * (1 / max(n[0], 1) + 1 / max(n[1], 1)))
-    z = np.abs(in_toxic - in_clean) / error
-    order = np.lexsort((rows.buckets, -z))[:COLUMNS]
-    return np.sort(order[z[order] >= 4])
+def label_model(votes: np.ndarray, weights: np.ndarray, prior: float, rounds: int = ROUNDS) -> tuple[np.ndarray, dict]:
+    """Posterior probabilities that rows are toxic, and what was estimated of the voters."""
+    state = estimate(votes.shape[1], prior, lambda state, pairs: moments(votes, weights, prior, state, pairs), rounds)
+    return posterior_of(votes, prior, state), state
 
 
-def train(rows: Rows, labels: np.ndarray, weights: np.ndarray, rounds: int = 400, sparse: float = 1e-5):
-    """Columns, their weights and the offset of a logistic classifier on soft labels, by proximal gradients (L1).
+def train(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, start: np.ndarray, rounds: int = 400, sparse: float = 1e-5):
+    """Weights and offset of a logistic classifier on soft labels, by proximal gradients.
 
-    The step of a column is bounded by the curvature of the columns it occurs with.
+    ``sets`` are column numbers. A weight is drawn towards its ``start``: 0, or a voter's evidence. The step of a column is bounded
+    by the curvature of the columns it occurs with.
     """
-    columns = telling(rows, labels, weights)
-    number = np.full(len(rows.buckets), -1)
-    number[columns] = np.arange(len(columns))
-    on = number[rows.column] >= 0
-    row, column = rows.row[on], number[rows.column[on]]
+    n, width = len(sets), len(start)
+    column = np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64)
+    row = np.repeat(np.arange(n), [len(s) for s in sets])
     share = weights / weights.sum()
-    present = np.bincount(row, minlength=rows.n) + 1.0
-    step = 1 / (0.25 * np.bincount(column, (share * present)[row], len(columns)) + 1e-9)
+    present = np.bincount(row, minlength=n) + 1.0
+    curve = 0.25 * np.bincount(column, (share * present)[row], width)
+    step = np.where(curve > 0, 1 / np.maximum(curve, 1e-9), 0.0)  # a column of no row stays where it starts
     step_b = 1 / (0.25 * (share @ present))
-    w, b = np.zeros(len(columns)), float(np.log(share @ labels) - np.log(1 - share @ labels))
+    mean = np.clip(share @ labels, 1e-4, 1 - 1e-4)
+    w, b = start.copy(), float(np.log(mean) - np.log(1 - mean))
     ahead, b_ahead, momentum = w, b, 1.0
     for _ in range(rounds):
-        logit = np.bincount(row, ahead[column], rows.n) + b_ahead
+        logit = np.bincount(row, ahead[column], n) + b_ahead
         miss = share * (1 / (1 + np.exp(-np.clip(logit, -30, 30))) - labels)
-        new = ahead - step * np.bincount(column, miss[row], len(columns))
-        new = np.sign(new) * np.maximum(0, np.abs(new) - step * sparse)
+        new = ahead - step * np.bincount(column, miss[row], width) - start
+        new = start + np.sign(new) * np.maximum(0, np.abs(new) - step * sparse)
         b_new = b_ahead - step_b * miss.sum()
         following = (1 + np.sqrt(1 + 4 * momentum**2)) / 2
         ahead = new + (momentum - 1) / following * (new - w)
         b_ahead = b_new + (momentum - 1) / following * (b_new - b)
         w, b, momentum = new, b_new, following
-    return columns, w, b
+    return w, b
 
 
 class Model:
+    """Weights of the sorted ``buckets``, and an offset."""
+
     def __init__(self, buckets: np.ndarray, weights: np.ndarray, offset: float):
-        on = np.flatnonzero(weights)
-        self.weights = dict(zip(buckets[on].tolist(), weights[on].tolist(), strict=True))
-        self.offset = offset
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.buckets, self.weights, self.offset = buckets, weights, offset
 
-    def logit(self, text: str | None) -> float:
-        """Each bucket of the text counts once."""
-        known, found = self.known, set()
-        for word in words_of(text):
-            if (hit := known.get(word)) is None:
-                if len(known) >= REMEMBER:
-                    known.clear()
-                hit = known[word] = tuple(f for f in features(word) if f in self.weights)
-            if hit:
-                found.update(hit)
-        return self.offset + sum(self.weights[f] for f in sorted(found))
+    def score(self, sets: list[bytes]) -> np.ndarray:
+        """Scores of texts from which of the buckets they have; each counts once."""
+        logits = [self.offset + self.weights[np.searchsorted(self.buckets, np.frombuffer(s, np.int32))].sum() for s in sets]
+        return 1 / (1 + np.exp(-np.maximum(np.array(logits, float), -700)))
 
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}}
 
+def _marked(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame:
+    """``doc_id, text, y`` of every row: its label, -1 without one, -2 where it is held out.
 
-def fit(sets: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Model | None:
-    """``labels``: 1, 0 or -1 (unknown); ``weights``: how many rows of the corpus each stands for."""
-    if not (labels == 1).any():
-        return None
-    rows = Rows(sets)
-    voters = choose_voters(rows, labels, weights)
-    known = labels >= 0
-    prior = float(np.clip(weights[labels == 1].sum() / weights[known].sum(), 0.001, 0.5))
-    posterior, _ = label_model(votes_of(rows, voters), weights, prior)
-    columns, w, offset = train(rows, posterior, weights)
-    return Model(rows.buckets[columns], w, offset)
+    Held-out rows, such as all those without an id, meet no labels, so they make no hot key of the join.
+    """
+    marks = labels.where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    thin = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    free = thin.where(~held_out("doc_id")).join(marks, "doc_id", "left")
+    free = free.select("doc_id", "text", F.coalesce("y", F.lit(-1)).cast("int").alias("y"))
+    return free.union(thin.where(held_out("doc_id")).withColumn("y", F.lit(-2)))
 
 
-def sample(docs: DataFrame, labels: DataFrame, id: str, text: str) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
-    """Features, labels and weights of a bounded sample; held-out rows are never in it."""
-    marks = labels.where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    totals = {r["y"]: r["count"] for r in marks.groupBy("y").count().collect()}
-    marked = sample_by_hash(marks, "y", F.when(F.col("y") == 1, TOXIC_ROWS).otherwise(OTHER_ROWS))
-    ids = docs.where(~held_out(id)).select(F.col(id).alias("doc_id"))
-    other = ids.join(marks.select("doc_id"), "doc_id", "left_anti").distinct()
-    n_other = other.count()
-    other = other.orderBy(F.xxhash64("doc_id"), "doc_id").limit(UNLABELLED_ROWS).withColumn("y", F.lit(-1))
-    chosen = marked.select("doc_id", "y").union(other)
+def _read(marked: DataFrame, wanted: frozenset[int]) -> DataFrame:
+    """``doc_id, key, y, buckets``: which wanted buckets each text has, written once. The key tells documents apart:
+    an id with a text."""
 
     @F.arrow_udf("binary")
-    def hashed(texts: pa.Array) -> pa.Array:
-        return pa.array([text_features(t.as_py()).tobytes() for t in texts], pa.binary())
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        reader = Reader(wanted)
+        for batch in batches:
+            yield pa.array([reader(t).tobytes() for part in pieces(batch) for t in part.to_pylist()], pa.binary())
+
+    found = marked.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "y", read("text").alias("buckets"))
+    return materialize(found, "toxic_columns")
+
 
-    thin = docs.where(~held_out(id)).select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    rows = thin.join(F.broadcast(chosen), "doc_id").select("doc_id", "y", hashed("text").alias("f")).collect()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], bytes(r["f"])))
-    y = np.array([r["y"] for r in rows], np.int64)
-    totals[-1] = n_other
-    weight = {k: totals.get(k, 0) / max(1, (y == k).sum()) for k in (-1, 0, 1)}
-    return [np.frombuffer(r["f"], np.int32) for r in rows], y, np.array([weight[k] for k in y.tolist()])
+def class_counts(marked: DataFrame) -> np.ndarray:
+    """How many labelled documents hold each bucket, by class: two rows of ``BUCKETS`` numbers, whatever the documents.
 
+    Each task sends its counts in blocks, which are added up block by block.
+    """
 
-def scores(docs: DataFrame, labels: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, sums = Reader(), np.zeros((2, BUCKETS), np.int32)
+        for batch in batches:
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            at = 0
+            for part in pieces(batch.column(0)):
+                for k, text in enumerate(part.to_pylist(), at):
+                    sums[labels[k], reader(text)] += 1
+                at += len(part)
+        for y in range(2):
+            for start in range(0, BUCKETS, _BLOCK):
+                block = sums[y, start : start + _BLOCK]
+                if block.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([y * BUCKETS + start]), pa.array([block.tobytes()], pa.binary())], ["at", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        total = np.zeros(_BLOCK, np.int64)
+        for counts in rows["counts"]:
+            total += np.frombuffer(counts.as_py(), np.int32)
+        return pa.table({"at": rows["at"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    kind = "at long, counts binary"
+    known = marked.where("y >= 0").select("text", "y").mapInArrow(count, kind)
+    out = np.zeros(2 * BUCKETS, np.int64)
+    for row in known.groupBy("at").applyInArrow(add, kind).collect():  # at most 2 * BUCKETS numbers
+        out[row["at"] : row["at"] + _BLOCK] = np.frombuffer(row["counts"], np.int64)
+    return out.reshape(2, BUCKETS)[::-1]  # toxic first
+
+
+def _found(buckets: list[bytes], voters: np.ndarray) -> np.ndarray:
+    """Which of the sorted ``voters`` each set of buckets has."""
+    found = np.zeros((len(buckets), len(voters)), bool)
+    for k, data in enumerate(buckets):
+        some = np.frombuffer(data, np.int32)
+        place = np.searchsorted(voters, some)
+        place, some = place[place < len(voters)], some[place < len(voters)]
+        found[k, place[voters[place] == some]] = True
+    return found
+
+
+def learned(
+    docs: DataFrame, labels: DataFrame, id: str, text: str, toxic_rows: int = TOXIC_ROWS, other_rows: int = OTHER_ROWS, unlabelled_rows: int = UNLABELLED_ROWS
+) -> tuple[Model, DataFrame] | None:
+    """A model from all documents that aren't held out, and the columns of every text; the bounds hold for the
+    classifier's sample alone. None without a toxic document."""
+    marked = _marked(docs, labels, id, text)
+    totals = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
+    if not totals.get(1):
+        return None
+    n_toxic, n_other = totals[1], totals.get(0, 0)
+    toxic, other = class_counts(marked)
+    voters = np.sort(choose_voters(toxic, other, n_toxic, n_other))
+    columns = np.union1d(voters, telling(toxic, other, n_toxic, n_other))
+    read = _read(marked, frozenset(columns.tolist()))
+
+    # All documents vote; equal patterns are one row with a count.
+    def patterned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = np.packbits(_found(batch.column(0).to_pylist(), voters), axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array([row.tobytes() for row in found], pa.binary())], ["pattern"])
+
+    free = read.where("y >= -1")
+    patterns = free.select("buckets").mapInArrow(patterned, "pattern binary").groupBy("pattern").agg(F.count("*").alias("n"))
+    patterns = materialize(patterns, "toxic_votes")
+    prior = float(np.clip(n_toxic / max(1, n_toxic + n_other), 0.001, 0.5))
+    width = len(voters)
+
+    def unpacked(patterns: list[bytes]) -> np.ndarray:
+        bits = np.frombuffer(b"".join(patterns), np.uint8).reshape(len(patterns), -1)
+        return votes_of(np.unpackbits(bits, axis=1, count=width).astype(bool)) if width else np.zeros((len(patterns), 0), np.int8)
+
+    def gather(state: dict | None, pairs: bool) -> np.ndarray:
+        def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                if batch.num_rows:
+                    total = total + moments(unpacked(batch.column(0).to_pylist()), batch.column(1).to_numpy().astype(float), prior, state, pairs)
+            if isinstance(total, np.ndarray):
+                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+
+        each = patterns.mapInArrow(sums, "sums binary").collect()  # a row of fixed size for each task
+        return sum(np.frombuffer(r["sums"], float) for r in each)
+
+    n_votes = votes_of(np.zeros((1, width), bool)).shape[1]
+    state = estimate(n_votes, prior, gather) if width else None
+
+    # The classifier's sample, by hash of documents.
+    most = F.when(F.col("y") == 1, toxic_rows).when(F.col("y") == 0, other_rows).otherwise(unlabelled_rows)
+    chosen = materialize(sample_by_hash(free.select("key", "y").distinct(), "y", most, "key"), "toxic_drawn")
+    rows = free.join(chosen, ["key", "y"], "left_semi").groupBy("key", "y").agg(F.min("buckets").alias("buckets")).collect()
+    rows = sorted(rows, key=lambda r: (r["key"], r["y"]))
+    y = np.array([r["y"] for r in rows])
+    weight = {k: totals.get(k, 0) / max(1, int((y == k).sum())) for k in (-1, 0, 1)}
+    weights = np.array([weight[k] for k in y.tolist()])
+    votes = votes_of(_found([r["buckets"] for r in rows], voters))
+    posterior = posterior_of(votes, prior, state) if width else np.where(y == 1, 1.0, 0.0)
+    sets = [np.searchsorted(columns, np.frombuffer(r["buckets"], np.int32)) for r in rows]
+    start = np.zeros(len(columns))
+    if width:
+        rates, news = state["rates"][:, :width], state["news"][:width]
+        gain = news * (np.log(rates[1] / rates[0]) - np.log((1 - rates[1]) / (1 - rates[0])))
+        start[np.searchsorted(columns, voters)] = gain
+    w, offset = train(sets, posterior, weights, start)
+    return Model(columns, w, offset), read
+
+
+def scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    toxic_rows: int = TOXIC_ROWS,
+    other_rows: int = OTHER_ROWS,
+    unlabelled_rows: int = UNLABELLED_ROWS,
+) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``, from its whole text alone.
 
     ``labels`` has ``doc_id, toxic`` (1 or 0; others and null don't count; of several labels of a
     document the higher counts). Without a toxic row to learn from all scores are 0. Null is the
-    empty text. Rows that repeat get the same score; rows without an id are held out.
+    empty text. Rows that repeat get the same score; rows without an id are held out. The three bounds are those of
+    the classifier's sample.
     """
-    model = fit(*sample(docs, labels, id, text))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    found = learned(docs, labels, id, text, toxic_rows, other_rows, unlabelled_rows)
+    if found is None:
+        return docs.select(F.col(id).alias("doc_id"), held_out(id).alias("held_out"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"))
+    held = docs.sparkSession.sparkContext.broadcast(found[0])
 
     @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = held.value
-        for batch in batches:
-            logits = [model.logit(t) if model else -np.inf for part in pieces(batch) for t in part.to_pylist()]
-            yield pa.array(1 / (1 + np.exp(-np.maximum(np.array(logits, float), -700))) if model else np.zeros(len(logits)), pa.float64())
+    def score(sets: pa.Array) -> pa.Array:
+        return pa.array(held.value.score(sets.to_pylist()), pa.float64())
 
-    thin = docs.select(F.col(id).alias("doc_id"), held_out(id).alias("held_out"), score(F.col(text)).alias("score"))
+    thin = found[1].select("doc_id", held_out("doc_id").alias("held_out"), score("buckets").alias("score"))
     return thin.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

@@ -26,11 +26,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from market_lens.sources.scratch import fresh_path, materialize
+from market_lens.llm.common import tasks
+from market_lens.sources.scratch import materialize, temporary_path
 
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 SPLIT_BYTES = 4 << 20
+#: Bytes of archives that a reading task takes.
+TASK_BYTES = 64 << 20
 LEVEL = 3
 _READ = 1 << 18
 _LINE_END = re.compile(r"[\r\n\x00]")
@@ -226,7 +229,9 @@ def read(files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True
                 if rows:
                     yield _batch(rows)
 
-    ranges = splits(files, split_bytes).repartition(F.xxhash64("path", "start"))
+    total = files.agg(F.sum("bytes")).first()[0] or 0
+    n = max(tasks(files), -(-total // TASK_BYTES))  # a number of its own: rows are tiny, whatever the bytes they stand for
+    ranges = splits(files, split_bytes).repartition(n, F.xxhash64("path", "start"))
     return ranges.mapInArrow(one, _KIND)
 
 
@@ -247,8 +252,13 @@ def round_trip(pages: DataFrame, min_bytes: int = 0, folder: str | None = None)
 
     Null html is the empty payload; a null url gets a name made of the id. Rows that share the smallest id and
     the payload are all responses. A row without an id is a revisit if a row with an id has its
-    payload. Other columns are ignored.
+    payload. Other columns are ignored. Fewer records than were written raise an error.
     """
-    folder = folder or fresh_path(pages.sparkSession, "warc")
+    folder = folder or temporary_path(pages.sparkSession, "warc")
     manifest = write(marked_revisits(pages, min_bytes), folder)
-    return read(manifest, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    columns = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    found = materialize(read(manifest, payloads=False).select(columns), "warc_records")
+    written, came_back = manifest.agg(F.sum("records")).first()[0] or 0, found.count()
+    if written != came_back:
+        raise ValueError(f"{written} records were written to {folder}, {came_back} came back")
+    return found

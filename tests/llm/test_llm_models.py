@@ -127,6 +127,85 @@ def test_label_model_finds_accuracies_and_discounts_copies():
     assert (found["news"][4:7] < 0.5).all()
 
 
+def test_label_model_of_a_table_is_that_of_its_rows(spark):
+    """Voters and rates come from all rows: a plain loop over the documents gives the same."""
+    rng = random.Random(12)
+    bad, mild = ["vileword", "nastyword", "meanword"], ["plain", "house", "water", "green"]
+    rows, marks = [], []
+    for k in range(400):
+        y = int(rng.random() < 0.3)
+        words = rng.choices(mild, k=6) + (rng.sample(bad, rng.randint(1, 2)) if y else []) + (["meanword"] if rng.random() < 0.05 else [])
+        rows.append((k, " ".join(words)))
+        if k % 3:
+            marks.append((k, y))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string").repartition(5), spark.createDataFrame(marks, "doc_id long, toxic int")
+    marked = toxicity._marked(docs, labels, "doc_id", "text")
+    toxic, other = toxicity.class_counts(marked)
+    want = np.zeros((2, toxicity.BUCKETS), np.int64)
+    for k, y in marks:
+        if not is_held_out(k):
+            for f in {f for w in set(dict(rows)[k].split()) for f in toxicity.features(w)}:
+                want[y, f] += 1
+    assert (toxic == want[1]).all() and (other == want[0]).all()
+
+
+def test_a_word_too_rare_for_the_sample_is_found(spark):
+    """The sample holds a few rows; the word stands in many labelled ones."""
+    rng = random.Random(13)
+    rows = [(k, f"{brute.sentence(rng, 12)} {'vileword' if k % 4 == 0 else 'plain'}{' rarething' if k % 40 == 0 else ''}") for k in range(2000)]
+    rows += [(5000 + k, f"{brute.sentence(rng, 12)} rarething") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    toxic = {k: int(k % 4 == 0) for k in range(2000)} | {5000 + k: 1 for k in range(20)}
+    labels = spark.createDataFrame([(k, y) for k, y in toxic.items()], "doc_id long, toxic int")
+    got = {r["doc_id"]: r for r in toxicity.scores(docs, labels, toxic_rows=20, other_rows=40, unlabelled_rows=10).collect()}
+    assert all(got[5000 + k]["predicted"] == 1 for k in range(20) if got[5000 + k]["held_out"])
+    assert np.mean([got[k]["predicted"] == y for k, y in toxic.items()]) > 0.97
+
+
+def test_rows_that_share_an_id_are_drawn_one_by_one(spark):
+    rows = [(1 if k % 3 else k, f"{'vileword' if k % 2 else 'plain'} {k}") for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 2)) for k in range(300)], "doc_id long, toxic int")
+    model, read = toxicity.learned(docs, labels, "doc_id", "text", 10, 10, 10)
+    assert model is not None and read.count() == 300
+    drawn = lang_crf.sample(docs.withColumn("lang", F.lit("en")), "doc_id", "text", "lang", 50, 100)
+    assert len(drawn) == 50 and len({t for t, _ in drawn}) == 50
+
+
+def test_long_runs_and_long_texts(spark):
+    assert [len(w) for w in lang_crf.words_of("x" * 150 + " y")] == [64, 64, 22, 1]
+    rng = np.random.default_rng(2)
+    model = lang_crf.Model(["a", "b"], np.zeros((4, 2)), np.array([[0.3, -0.3], [-0.3, 0.3]]), frozenset())
+    sizes = np.array([1, 64, 65, 1000, 7])
+    emission = rng.normal(size=(sizes.sum(), 2))
+    got, at = lang_crf.label_shares(model, emission, sizes), 0
+    for size, row in zip(sizes, got):
+        assert np.allclose(row, brute.marginals(emission[at : at + size], model.switch).sum(axis=0))
+        at += size
+
+
+def test_the_whole_table_is_scored_in_each_round(spark):
+    """A table of unlabelled rows hands over what a pool in memory does, up to a step of evidence and the draw."""
+    rng = np.random.default_rng(8)
+    n = 600
+    truth = rng.random(n) < 0.4
+    inside = truth[:, None] * 2.5 + rng.normal(0, 1, (n, 3)), np.zeros((n, 1), np.int64)
+    outside = truth[:, None] * 2.5 + rng.normal(0, 1, (n, 3)), np.zeros((n, 2), np.int64)
+    model = quality.co_train(inside, outside, np.where(np.arange(n) < 80, truth, -1).astype(np.int64), rounds=1)
+    kind = "key long, f struct<inside: array<double>, outside: array<double>, places: array<int>>"
+    rows = [(k, (inside[0][k].tolist(), outside[0][k].tolist(), [0, 0])) for k in range(80, n)]
+    views = [model.content, model.layout]
+    table = quality.TablePool(spark.createDataFrame(rows, kind).repartition(3), 10_000).surest(views, 0.4)
+    local = quality.LocalPool(tuple(x[80:] for x in inside), tuple(x[80:] for x in outside)).surest(views, 0.4)
+    for k, ((*mine, y), (*theirs, z)) in enumerate(zip(table, local)):
+        assert 0 < len(y) <= len(z)  # whole steps of evidence that the quota holds
+        evidence = [views[k].logits(views[k].columns(*rows[k])) for rows in (mine, theirs)]
+        assert (np.abs(evidence[0]) > 1).all() and ((evidence[0] > 0) == (y > 0)).all()
+        assert evidence[0].max() == evidence[1].max() or evidence[0].min() == evidence[1].min()
+    drawn = quality.TablePool(spark.createDataFrame(rows, kind), 4).surest(views, 0.4)
+    assert all(len(y) <= 4 for _, _, y in drawn)
+
+
 def test_toxicity_at_the_edges(spark, docs):
     rng = random.Random(4)
     more = [(1000 + k, f"{brute.sentence(rng, 30)} {'nastyword' if k % 3 == 0 else 'plain'} {brute.sentence(rng, 9)}") for k in range(300)]

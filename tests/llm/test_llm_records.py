@@ -104,6 +104,27 @@ def test_each_record_belongs_to_one_range():
         assert parts == whole, size
 
 
+def test_ranges_are_read_by_many_tasks(spark):
+    files = spark.createDataFrame([(f"file:///no/{k}", 50 << 20, 1) for k in range(40)], "path string, bytes long, records long")
+    assert warc.read(files).rdd.getNumPartitions() >= 32
+
+
+def test_a_lost_record_is_an_error(spark, monkeypatch):
+    pages = spark.createDataFrame(PAGES[:5], "page_id long, url string, html string")
+    told = warc.write
+    monkeypatch.setattr(warc, "write", lambda rows, folder: told(rows, folder).withColumn("records", F.col("records") + 1))
+    with pytest.raises(ValueError, match="came back"):
+        warc.round_trip(pages)
+
+
+def test_scores_beyond_a_long(spark):
+    rows = [(20, [1e300, -1e300]), (1, [1e300, 0.0]), (2, [1e16, 1e16]), (3, [-1e300, 5.0]), (4, [0.5, 0.25]), (40, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, e array<double>").select("vec_id", kd_topk.quantized(F.col("e")).alias("embedding"))
+    got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in kd_topk.top_k(df, df.where("vec_id % 20 = 0"), 20).collect()}
+    most = kd_topk.LARGEST
+    assert len(got) == 10 and got[20, 1] == (1, most) and got[20, 5] == (3, -most) and got[40, 3] == (4, 64 * 32 + 64 * 16) and got[40, 4] == (20, 0)
+
+
 def test_an_empty_archive(spark):
     none = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.round_trip(none).count() == 0
