@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from market_lens.operators.prefix import attach
-from market_lens.operators.quantile import median
+from market_lens.operators.quantile import quantiles_of, value_table
 
 
 def _counts(df: DataFrame, col: str) -> DataFrame:
@@ -38,11 +38,14 @@ def long_form(df: DataFrame, cols: list[str]) -> DataFrame:
 
 def numeric_summary(df: DataFrame, cols: list[str]) -> DataFrame:
     """Per column: ``n``, ``min``, ``max``, ``mean`` and exact ``median`` of the non-null values."""
-    cells = long_form(df, cols)
-    stats = cells.groupBy("column").agg(
-        F.count("value").alias("n"), F.min("value").alias("min"), F.max("value").alias("max"), F.avg("value").alias("mean")
+    values = value_table(long_form(df, cols), "value", ["column"])
+    total = F.sum("_n")
+    stats = values.groupBy("column").agg(
+        total.alias("n"), F.min("_v").alias("min"), F.max("_v").alias("max"), (F.sum(F.col("_v") * F.col("_n")) / total).alias("mean")
     )
-    return stats.join(median(cells, "value", ["column"]).drop("n"), "column", "left")
+    found = stats.join(quantiles_of(values, {"median": 0.5}, ["column"]).drop("n"), "column")
+    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(found, "column", "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def _percent(counts: DataFrame) -> DataFrame:

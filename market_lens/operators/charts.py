@@ -12,7 +12,8 @@ from market_lens.functions.values import grade
 from market_lens.operators import metrics
 from market_lens.operators.aggregate import counts_by_key, share_of_counted, value_counts
 from market_lens.operators.prefix import attach
-from market_lens.operators.quantile import quantiles, value_table
+from market_lens.operators.quantile import quantiles_of, value_table
+from market_lens.sources.scratch import materialize
 
 TOP_BRANDS = 15
 PRICE_BINS = 25
@@ -113,10 +114,11 @@ def histogram(df: DataFrame, col: str = "price_wan", bins: int = PRICE_BINS) ->
 
 def _fenced(df: DataFrame, group: str, col: str, min_n: int) -> DataFrame:
     """Value counts per group with the group's quartiles and fences."""
-    boxes = quantiles(df, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group]).where(F.col("n") > min_n)
+    values = value_table(df, col, [group])
+    boxes = quantiles_of(values, {"q1": 0.25, "median": 0.5, "q3": 0.75}, [group]).where(F.col("n") > min_n)
     reach = (F.col("q3") - F.col("q1")) * 1.5
     boxes = boxes.withColumns({"_low": F.col("q1") - reach, "_high": F.col("q3") + reach})
-    return value_table(df, col, [group]).join(boxes, group)
+    return values.join(materialize(boxes, "boxes"), group)
 
 
 def boxplot(df: DataFrame, group: str = "vehicle_type", col: str = "mileage_km", min_n: int = 5) -> DataFrame:

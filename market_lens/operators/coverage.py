@@ -6,9 +6,6 @@ the number of new valid records the page gave. The index columns are the collect
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -105,9 +102,10 @@ def quota_adaptive(page_counts: DataFrame, target: int = vocab.RUN_TARGET, run:
     """Per city in order: its quota, the records it gave, and what was left before it.
 
     Every quota depends on what the earlier cities really gave, which depends on their
-    quotas and stop rules, so this is a fold over the cities of a run. Pages are
-    reduced to one row per city first, and runs fold in parallel; the fold is a
-    streaming pass that holds one city at a time. Cities after the target is met are absent.
+    quotas and stop rules, so this is a fold over the cities of a run, in order. Pages are
+    reduced to one row per city first (at most ``CITY_MAX`` running counts each), and a run's cities
+    to one array, which grows with its cities and not with its records. Runs fold in parallel.
+    Cities after the target is met are absent.
     """
     by = [run] if run else []
     city = [*by, "city_idx"]
@@ -115,38 +113,48 @@ def quota_adaptive(page_counts: DataFrame, target: int = vocab.RUN_TARGET, run:
     # No quota exceeds CITY_MAX and every page here gives a record, so a city keeps at
     # most CITY_MAX running counts.
     reached = city_cap(taken, vocab.CITY_MAX, city)
-    steps = reached.groupBy(*city).agg(F.array_sort(F.collect_list(F.col("before") + F.col("n_new"))).alias("steps"))
-    cities = page_counts.groupBy(*city).agg(F.lit(1).alias("_one")).join(steps, city, "left")
+    steps = reached.select(*city, (F.col("before") + F.col("n_new")).cast("bigint").alias("step"))
+    steps = steps.union(page_counts.select(*city, F.lit(None).cast("bigint")))  # cities that gave nothing have no step
+    cities = steps.groupBy(*city).agg(F.array_sort(F.collect_list("step")).alias("steps"))
     key = F.col(run).cast("string") if run else F.lit("")
-    n_cities = page_counts.groupBy(*by).agg(F.count_distinct("city_idx").alias("n_cities"))
-    cities = cities.join(n_cities, run) if run else cities.withColumn("n_cities", n_cities.scalar())
-    ordered = (
-        cities.select(key.alias("run"), F.col("city_idx").cast("bigint").alias("city_idx"), "n_cities", "steps")
-        .repartition("run")
-        .sortWithinPartitions("run", "city_idx")
-    )
-    low, high = vocab.CITY_MIN, vocab.CITY_MAX
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, left, todo = None, 0, 0
-        for batch in batches:
-            rows = []
-            for row in batch.itertuples(index=False):
-                if row.run != current:
-                    current, left, todo = row.run, row.n_cities, target
-                if todo > 0:
-                    quota = min(high, max(low, todo // max(1, left - 1)))
-                    steps = [] if row.steps is None else row.steps
-                    gave = next((s for s in steps if s >= quota), steps[-1] if len(steps) else 0)
-                    gave = min(int(gave), todo)
-                    rows.append((row.run, row.city_idx, quota, gave, todo))
-                    todo -= gave
-                left -= 1
-            yield pd.DataFrame(rows, columns=["run", "city_idx", "quota", "n_taken", "n_left_before"])
-
-    return ordered.mapInPandas(
-        fold, "run string, city_idx bigint, quota bigint, n_taken bigint, n_left_before bigint"
-    )
+    entry = F.struct(F.col("city_idx").cast("bigint").alias("city_idx"), "steps")
+    folded = cities.groupBy(key.alias("run")).agg(F.array_sort(F.collect_list(entry)).alias("cities"))
+    rows = F.aggregate("cities", _start(F.size("cities"), target), _next_city, lambda state: state["rows"])
+    return folded.select("run", F.inline(rows))
+
+
+_FOLD = (
+    "struct<cities_left: bigint, todo: bigint, "
+    "rows: array<struct<city_idx: bigint, quota: bigint, n_taken: bigint, n_left_before: bigint>>>"
+)
+
+
+def _start(n_cities: Column, target: int) -> Column:
+    return F.struct(n_cities.cast("bigint"), F.lit(target).cast("bigint"), F.array()).cast(_FOLD)
+
+
+def _next_city(state: Column, city: Column) -> Column:
+    """The state after a city: a row for it unless the target is met."""
+    left, todo = state["cities_left"], state["todo"]
+    share = _div(todo, F.greatest(F.lit(1), left - 1))
+    quota = F.least(F.lit(vocab.CITY_MAX), F.greatest(F.lit(vocab.CITY_MIN), share)).cast("bigint")
+    stop = F.get(F.filter(city["steps"], lambda s: s >= quota), F.lit(0))
+    gave = F.least(F.coalesce(stop, F.get(city["steps"], F.size(city["steps"]) - 1), F.lit(0)), todo).cast("bigint")
+    row = F.struct(city["city_idx"], quota, gave, todo)
+    rows = F.concat(state["rows"], F.array(row).cast(_FOLD.split("rows: ")[1][:-1]))
+    after = F.struct(left - 1, todo - gave, rows).cast(_FOLD)
+    passed = F.struct(left - 1, todo, state["rows"]).cast(_FOLD)
+    return F.when(todo > 0, after).otherwise(passed)
+
+
+def run_report(page_counts: DataFrame, target: int = vocab.RUN_TARGET, run: str | None = None) -> DataFrame:
+    """Records that each city of a run gave, against its own quota: ``run, city_idx, n_records, quota, below_min, met_target``.
+
+    A city that fell short of ``CITY_MIN`` never counts as having met its quota.
+    """
+    report = quota_adaptive(page_counts, target, run).withColumnRenamed("n_taken", "n_records").drop("n_left_before")
+    short = F.col("n_records") < vocab.CITY_MIN
+    return report.withColumn("below_min", short).withColumn("met_target", ~short & (F.col("n_records") >= F.col("quota")))
 
 
 def coverage_report(page_counts: DataFrame, target: int, by: list[str] = ("city_idx",)) -> DataFrame:

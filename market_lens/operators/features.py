@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from market_lens import vocab
-from market_lens.operators.prefix import attach, sum_before
+from market_lens.operators.prefix import attach, rank_of
 from market_lens.operators.quantile import quantiles
 from market_lens.schema import FEATURES
 from market_lens.sources.scratch import materialize
@@ -41,13 +41,11 @@ def fit_labels(df: DataFrame, cols: list[str]) -> DataFrame:
     """``column, label, code, cnt``: per column codes 0..n-1 in code-point order; null is
     the text 'nan'. A fit: the table is written once and read by every later use.
 
-    The code is the number of smaller labels. It is counted by first character, then by
-    first two, then among their like, so no task orders all labels.
+    The code is the number of smaller labels, from ranges that no common beginning of labels makes larger.
     """
     labels = materialize(_label_counts(df, cols), "label_counts")
-    keyed = labels.withColumns({"_one": F.lit(1), "_c1": F.substring("label", 1, 1), "_c2": F.substring("label", 1, 2)})
-    coded = sum_before(keyed, "_one", ["_c1", "_c2", "label"], ["column"], "code")
-    return materialize(coded.select("column", "label", F.col("code").cast("bigint").alias("code"), "cnt"), "labels")
+    coded = rank_of(labels, ["label"], ["column"], "code")
+    return materialize(coded.select("column", "label", "code", "cnt"), "labels")
 
 
 def _usual_codes(df: DataFrame, cols: list[str], labels: DataFrame) -> dict[str, int]:
@@ -104,12 +102,6 @@ def split(df: DataFrame, keys: list[str], n: int = 5) -> tuple[DataFrame, DataFr
     return df.where(~test), df.where(test)
 
 
-def random_split(df: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Row-wise alternative; repeatable only over the same partitions."""
-    train, test = df.randomSplit([1 - test_share, test_share], seed)
-    return train, test
-
-
 def price_tier(df: DataFrame, col: str = "price_wan", out: str = "tier") -> DataFrame:
     """Add the price tier: exact quantiles of the mean-imputed price, upper bounds inclusive."""
     low, high = vocab.TIER_QUANTILES

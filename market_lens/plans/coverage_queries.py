@@ -102,9 +102,7 @@ def quota_fixed_alloc(spark, sf_dir):
     return runs.withColumn("quota", C.quota_fixed(F.col("target"), F.col("n_cities")))
 
 
-@query(
-    "quota_adaptive_alloc",
-    """
+_FOLD = """
 with recursive dry as (select run, city_idx, cat_idx, min(case when n_new = 0 then page end) as first_dry
        from run_page_counts group by 1, 2, 3),
 taken as (select p.* from run_page_counts p join dry using (run, city_idx, cat_idx)
@@ -124,13 +122,23 @@ fold(run, i, n, city_idx, quota, n_taken, n_left) as (
           least(1500, greatest(200, (f.n_left - f.n_taken) // greatest(1, c.n - c.i))) as quota
         from fold f join cities c on c.run = f.run and c.i = f.i + 1 where f.n_left - f.n_taken > 0)
 )
-select run, city_idx, quota, n_taken, n_left as n_left_before from fold where i > 0
-""",
-)
+"""
+
+
+@query("quota_adaptive_alloc", f"{_FOLD}select run, city_idx, quota, n_taken, n_left as n_left_before from fold where i > 0")
 def quota_adaptive_alloc(spark, sf_dir):
     return C.quota_adaptive(view(spark, sf_dir, "run_page_counts"), 5000, "run")
 
 
+@query(
+    "coverage_by_run",
+    f"{_FOLD}select run, city_idx, quota, n_taken as n_records, n_taken < 200 as below_min, "
+    "n_taken >= 200 and n_taken >= quota as met_target from fold where i > 0",
+)
+def coverage_by_run(spark, sf_dir):
+    return C.run_report(view(spark, sf_dir, "run_page_counts"), 5000, "run")
+
+
 @query(
     "coverage_by_city",
     "select city_idx, cast(sum(n_new) as bigint) as n_records, sum(n_new) < 200 as below_min, "

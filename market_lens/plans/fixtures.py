@@ -7,10 +7,13 @@ the given tables are named differs.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from market_lens.sources.scratch import materialize
+
 TABLES = (
     "region nation customer supplier part orders lineitem events "
     "documents embeddings pages benchmark labels conversations"
@@ -106,6 +109,8 @@ select listing_key, price_wan as actual, mean_price as predicted
 from listings join brand_means using (brand) where {test_bucket} = 0
 """,
 }
+#: Views of which Spark writes the rows before another view joins them.
+WRITTEN = ["brand_means"]
 BUCKET_SQL = "(('0x'||substring(md5(cast(listing_key as string)),1,4))::int % 5)"
 _BUCKET = {
     "spark": "pmod(cast(conv(substring(md5(cast(listing_key as string)),1,4),16,10) as int),5)",
@@ -127,7 +132,7 @@ def with_views(text: str, dialect: str, tables: dict[str, str] | None = None) ->
     views = {v: VIEWS[v].replace("{test_bucket}", _BUCKET[dialect]) for v in _needed(text)}
     everything = " ".join([text, *views.values()])
     given = {t: body for t, body in (tables or {}).items() if re.search(rf"\b{t}\b", everything)}
-    parts = [f"{name} as ({body})" for name, body in {**given, **views}.items()]
+    parts = [f"{name} as ({body})" for name, body in {**given, **{v: body for v, body in views.items() if v not in given}}.items()]
     own = re.match(r"\s*with\s+(recursive\s+)?", text)
     if own:
         parts.append(text[own.end() :])
@@ -140,11 +145,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _reading(spark: SparkSession, sf_dir: str, name: str, spread: bool) -> str:
-    """SQL that reads a given table. ``spread`` deals out a fact table of fewer pieces than
-    there are cores; a large one already comes in enough pieces and is not shuffled."""
-    hint, cores = "", spark.sparkContext.defaultParallelism
-    if spread and name == "lineitem" and table(spark, sf_dir, name).rdd.getNumPartitions() < cores:
-        hint = f"/*+ REPARTITION({cores}) */ "
+    """SQL that reads a given table. ``spread`` deals the fact table out to all cores, whatever the
+    pieces that its files come in."""
+    cores = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    hint = f"/*+ REPARTITION({cores}) */ " if spread and name == "lineitem" else ""
     return f"select {hint}* from parquet.`{sf_dir}/{name}.parquet`"
 
 
@@ -152,6 +156,12 @@ def view(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> D
     """A view as a DataFrame. ``spread`` is for work that costs much more per row than reading it."""
     needed = " ".join([name, *(VIEWS[v] for v in _needed(name))])
     tables = {t: _reading(spark, sf_dir, t, spread) for t in TABLES if re.search(rf"\b{t}\b", needed)}
+    for small in WRITTEN:
+        if name != small and re.search(rf"\b{small}\b", needed):
+            # A row for each of a few hot keys: Spark knows a written table's size, so it needs no shuffle by them.
+            place = f"{small}_{uuid.uuid4().hex}"
+            materialize(view(spark, sf_dir, small), small).createOrReplaceTempView(place)
+            tables[small] = f"select * from {place}"
     return spark.sql(with_views(f"select * from {name}", "spark", tables))
 
 

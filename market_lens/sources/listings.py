@@ -14,6 +14,7 @@ from market_lens.functions.columns import to_number
 from market_lens.functions.values import age
 from market_lens.operators.quality import drop_empty_rows
 from market_lens.schema import LISTING_SCHEMA, from_file_names, is_numeric, to_file_names
+from market_lens.sources.csv_ranges import read_csv
 
 log = logging.getLogger(__name__)
 
@@ -23,10 +24,12 @@ _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 def read_raw_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
     """Every column as text under its header name.
 
-    Quoted cells may hold line breaks, so a file is one task; ``write_listings`` makes a
-    file for each partition. ``multi_line=False`` splits files, for files known to have none.
+    Quoted cells may hold line breaks; a file is still read by many tasks (``csv_ranges``). ``multi_line=False`` saves
+    the search for them, for files known to have none.
     """
-    return spark.read.options(**_CSV, enforceSchema=False, inferSchema=False, multiLine=multi_line).csv(path)
+    if multi_line:
+        return read_csv(spark, path, _CSV)
+    return spark.read.options(**_CSV, enforceSchema=False, inferSchema=False).csv(path)
 
 
 def na_tokens_to_null(df: DataFrame, tokens: list[str] = vocab.NA_TOKENS) -> DataFrame:

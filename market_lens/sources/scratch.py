@@ -46,6 +46,13 @@ def remove_written() -> None:
             place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def temporary_path(spark: SparkSession, name: str) -> str:
+    """A fresh path that is deleted when Python ends."""
+    path = fresh_path(spark, name)
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` to the shared folder once and read it from there.
 
@@ -54,7 +61,7 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     what it reads, so it broadcasts a small table and shuffles a large one. The files stay
     until Python ends, since frames made of the table may be read until then.
     """
-    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
-    _written.append((spark, path))
+    spark = df.sparkSession
+    path = temporary_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -13,6 +13,8 @@ from conftest import SF_DIR
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from market_lens.functions import balanced as B
+from market_lens.functions import html as H
 from market_lens.operators import aggregate as A
 from market_lens.operators import charts as G
 from market_lens.operators import coverage as C
@@ -22,7 +24,8 @@ from market_lens.operators import models as L
 from market_lens.operators import profile as R
 from market_lens.operators import quality as Q
 from market_lens.operators import reports
-from market_lens.operators.prefix import sum_before
+from market_lens.operators.prefix import rank_of, sum_before
+from market_lens.operators import quantile as K
 from market_lens.operators.quantile import quantiles
 from market_lens.plans import QUERIES
 from market_lens.plans.fixtures import view
@@ -69,6 +72,42 @@ def test_quantiles_are_exact(spark, kind):
     assert np.allclose([alone[p] for p in probs], np.quantile(values, list(probs.values())))
 
 
+@pytest.mark.parametrize("ordered", [1, 7, 1000])
+def test_quantiles_by_rounds(spark, ordered, monkeypatch):
+    """However few values a task may order; a third of all rows hold one value."""
+    monkeypatch.setattr(K, "CELLS", 4)
+    rng = np.random.default_rng(5)
+    rows = [("a", float(v)) for v in rng.normal(size=700)] + [("a", 0.25)] * 350 + [("b", v) for v in (1.0, 1.0, 2.0)] + [("c", None)]
+    rows += [("d", v * 1e300) for v in (-1.0, 1e-300, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probs = {"lo": 0.0, "q": 0.33, "m": 0.5, "hi": 1.0}
+    got = {r["g"]: r for r in K.quantiles_of(K.value_table(df, "v", ["g"]), probs, ["g"], ordered).collect()}
+    assert set(got) == {"a", "b", "d"}
+    for g, row in got.items():
+        values = [v for k, v in rows if k == g]
+        assert row["n"] == len(values)
+        assert [row[p] for p in probs] == pytest.approx(list(np.quantile(values, list(probs.values()))))
+    alone = K.quantiles_of(K.value_table(df.where("g = 'a'"), "v"), probs, [], ordered).first()
+    assert alone["m"] == pytest.approx(np.median([v for k, v in rows if k == "a"]))
+
+
+def test_ranks_from_ranges(spark):
+    """Rows with one common beginning are spread over all ranges."""
+    rows = [("g" if k % 3 else None, f"common{k:05d}") for k in range(900)]
+    df = spark.createDataFrame(rows, "g string, v string").repartition(6)
+    ranked = rank_of(df, ["v"], ["g"], "place", rows=50)
+    for g in ("g", None):
+        mine = [r for r in ranked.collect() if r["g"] == g]
+        assert [r["v"] for r in sorted(mine, key=lambda r: r["place"])] == sorted(v for k, v in rows if k == g)
+        assert [r["place"] for r in sorted(mine, key=lambda r: r["place"])] == list(range(len(mine)))
+    assert rank_of(df.limit(0), ["v"]).count() == 0
+
+
+def test_predictions_join_their_means_without_a_shuffle(spark, sf_dir):
+    plan = plan_of(view(spark, sf_dir, "sql_predictions"))
+    assert "hashpartitioning(brand" not in plan
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([], "v double")
     assert quantiles(df, "v", {"m": 0.5}).collect() == []
@@ -454,12 +493,65 @@ MIXED = {
     ),
     "template": ("<li class='cards-li'>a<template><p>no</p></template>b</li>", [(None, "ab")]),
     "number": ("<li class='cards-li'>a&#66c</li>", [(None, "aBc")]),
+    "bracket in quotes": ("<li class='cards-li' data-x='a>b'>A<b title=\"x>y\">x</b></li>", [(None, "Ax")]),
+    "bracket in a title": ('<li class="cards-li"><a carname="奥迪 > A6">x</a></li>', [("奥迪 > A6", "x")]),
+    "ended paragraph": ('<li class="cards-li"><p class="car-name">T<div>z</div></p></li>', [("T", "Tz")]),
+    "reference in a class": ('<li class="cards&#45;li">r</li>', [(None, "r")]),
+    "bare bracket": ("<li class='cards-li'>1 < 2 x</li>", [(None, "1 < 2 x")]),
+    "parted by a comment": ("<li class='cards-li'>a <!-- <li> --> b<script>1<2</script>c </li>", [(None, "abc")]),
+    "class in another value": ("<li title='class=cards-li'>n</li><li title='x' class='cards-li'>y</li>", [(None, "y")]),
+    "void": ("<li class='cards-li'>a<br>b<img src='>'/>c<hr/></li>", [(None, "abc")]),
+    "stray end": ("<li class='cards-li'>a</b></p>b</li>", [(None, "ab")]),
+    "crossed": ("<div class='list-item'><b><i>x</b>y</i></div>", [(None, "xy")]),
     "none": ("<p>nothing</p>", []),
     "empty": ("", []),
     "null": (None, []),
 }
 
 
+def native(spark, html: str) -> bool:
+    """Whether a page is read on the JVM."""
+    row = spark.createDataFrame([(html,)], "html string").select(H.strip_unseen("html").alias("c"))
+    outlined = row.select(B.outline(B.tokens("c"), ["li.cards-li", ".list-item"])["balanced"] & ~H.needs_decoder("c"))
+    return outlined.first()[0]
+
+
+def _markup(rng, depth: int = 0) -> str:
+    tags = ["div", "li", "ul", "p", "b", "section", "span", "h4"]
+    marks = ["", ' class="x list-item"', " class=cards-li", " carname='A>B &amp; c'", ' title="a>b" class=\'car-name big\'', " class='car&#45;name'", " data-k"]
+    out = []
+    for _ in range(rng.randint(0, 4)):
+        kind = rng.random()
+        if kind < 0.45 and depth < 5:
+            tag = rng.choice(tags)
+            end = f"</{tag}>" if rng.random() < 0.97 else ""
+            out.append(f"<{tag}{rng.choice(marks)}>{_markup(rng, depth + 1)}{end}")
+        elif kind < 0.55:
+            out.append(rng.choice(["<br>", "<img alt='>'>", "<!-- c > -->", "<hr/>", "<div class='list-item'/>", "</b>"]))
+        else:
+            out.append(rng.choice([" t ", "1 < 2", "a&lt;b", "x", "\n", " 奥迪 ", "&nbsp;u", "<3", '"q" = \'']))
+    return "".join(out)
+
+
+def test_random_markup_as_the_tokenizer_reads_it(spark):
+    from market_lens.operators.cards import explode_cards, explode_nested_cards
+
+    rng = random.Random(11)
+    pages = spark.createDataFrame([(k, _markup(rng)) for k in range(400)], "page_id int, html string").repartition(4)
+    titles = [".car-name", "[carname]", "h4", "b"]
+    found = [sorted(map(str, explode(pages, [".list-item", "li.cards-li"], titles).collect())) for explode in (explode_cards, explode_nested_cards)]
+    assert found[0] == found[1] and len(found[0]) > 100
+
+
+def test_many_cards_of_a_page(spark):
+    html = "<ul>" + "".join(f"<li class='cards-li'><div><div><h4>T{k}</h4></div>x</div></li>" for k in range(1000)) + "</ul>"
+    from market_lens.operators.cards import explode_cards
+
+    assert native(spark, html)
+    rows = explode_cards(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()
+    assert sorted((r["ord"], r["title"], r["text"]) for r in rows) == [(k, f"T{k}", f"T{k}x") for k in range(1000)]
+
+
 def test_cards_of_mixed_markup(spark):
     from market_lens.operators.cards import explode_cards, explode_flat_cards, explode_nested_cards
 
@@ -474,6 +566,8 @@ def test_cards_of_mixed_markup(spark):
     expected = {k: want for k, (_, want) in MIXED.items()}
     assert cards(explode_cards(pages)) == expected
     assert cards(explode_nested_cards(pages)) == expected
+    by_python = {k for k, (html, _) in MIXED.items() if html and not native(spark, html)}
+    assert by_python == {"unclosed", "template", "number", "ended paragraph", "crossed"}
     flat = cards(explode_flat_cards(pages))
     assert all(flat[k] == expected[k] for k in ("flat", "unquoted", "none", "empty", "null"))
 

@@ -1,11 +1,13 @@
 """Files in and out, and incremental runs."""
 
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from market_lens.plans.fixtures import listing_pages
+from market_lens.sources import csv_ranges as R
 from market_lens.sources import listings as S
 from market_lens.sources import scratch
 from market_lens.sources.pages import read_pages
@@ -130,3 +132,63 @@ def test_a_new_checkpoint_loses_nothing(spark, tmp_path):
     assert {x for x in landed if not x[1]} == {(3, None), (4, None)}
     I.ingest_incremental(spark, source, out, str(tmp_path / "two"), texts).awaitTermination()
     assert read_pages(spark, I.pages_path(out)).count() == len(landed)
+
+
+def _csv_rows(rng, n):
+    cells = ["a", "", '"q"', '"x\ny"', '"x\n\n""z"",\n"', "12", '"\n"', "é"]
+    return "".join(f"{k},{rng.choice(cells)},{rng.choice(cells)}" + rng.choice(["\n", "\n\n"]) for k in range(n))
+
+
+def test_a_file_of_many_ranges_gives_the_rows_of_one_task(spark, tmp_path):
+    import random
+
+    for k in range(2):
+        path = tmp_path / f"f{k}.csv"
+        text = f"\ufeffkey,品牌,品牌\n{_csv_rows(random.Random(k), 400)}last,\"x\ny\",z"
+        path.write_text(text, encoding="utf-8", newline="\r\n" if k else "\n")
+    old = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+    want = spark.read.options(**options, multiLine=True).csv(str(tmp_path))
+    rows = sorted(map(str, (tuple(r) for r in want.collect())))
+    try:
+        for c, v in zip(old, ("150", "10")):
+            spark.conf.set(c, v)
+        assert spark.read.text(str(tmp_path / "f0.csv")).rdd.getNumPartitions() > 20
+        got = R.read_csv(spark, str(tmp_path), options)
+        assert got.columns == want.columns and sorted(map(str, (tuple(r) for r in got.collect()))) == rows
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+    assert len(rows) == 802
+
+
+def test_files_of_one_header_only(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("x,z\n1,2\n")
+    options = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
+    with pytest.raises(ValueError, match="headers"):
+        R.read_csv(spark, str(tmp_path), options)
+    (tmp_path / "b.csv").write_text("x,y\n")
+    assert [tuple(r) for r in R.read_csv(spark, str(tmp_path), options).collect()] == [("1", "2")]
+
+
+def test_a_batch_reads_its_own_buckets_of_addresses(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    pages = spark.range(500).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), F.col("id").cast("string")).alias("url"), F.lit("x").alias("html"))
+    pages.write.parquet(source)
+    texts = lambda df: df.select("page_id", "url")
+    I.ingest_incremental(spark, source, out, str(tmp_path / "one"), texts).awaitTermination()
+    index = spark.read.parquet(I.addresses_path(out))
+    assert index.count() == 500 and index.where(F.col("bucket") != I._bucket("url")).isEmpty()
+    bucket = index.where("url = 'u7'").first()["bucket"]
+    some = I.landed_addresses(spark, out, [bucket])
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and f"bucket#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert some.count() == index.where(F.col("bucket") == bucket).count()
+    # A landing without an index, as a run leaves it that ends in between, is indexed by the next run.
+    shutil.rmtree(I.addresses_path(out))
+    more = spark.createDataFrame([(900, "u7", "x"), (901, "new", "b"), (902, "new", "a")], "page_id long, url string, html string")
+    more.write.mode("append").parquet(source)
+    I.ingest_incremental(spark, source, out, str(tmp_path / "two"), texts).awaitTermination()
+    landed = read_pages(spark, I.pages_path(out))
+    assert landed.count() == 501 and landed.where("url = 'new'").first()["page_id"] == 901
