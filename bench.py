@@ -55,6 +55,7 @@ def main() -> None:
     seconds = {}
     for name in names:
         seconds[name] = round(min(timed(name) for _ in range(RUNS)), 3)
+        print(f"{name} {seconds[name]}", file=sys.stderr, flush=True)  # a run that is stopped leaves what it has
     print(
         json.dumps(
             {

@@ -6,97 +6,44 @@ list is searched in order (brands, colours, keywords) its order is part of the v
 """
 
 # Brand names, searched in this order.
-BRANDS = """
-奥迪 宝马 奔驰 大众 丰田 本田 日产 马自达 现代 起亚
-福特 雪佛兰 别克 凯迪拉克 沃尔沃 捷豹 路虎 保时捷 特斯拉
-比亚迪 吉利 长城 奇瑞 长安 荣威 名爵 传祺 红旗 领克
-蔚来 小鹏 理想 威马 零跑 哪吒 极氪 岚图 高合 智己
-雷克萨斯 英菲尼迪 讴歌 林肯 克莱斯勒 Jeep 道奇
-菲亚特 阿尔法罗密欧 玛莎拉蒂 法拉利 兰博基尼 宾利 劳斯莱斯
-阿斯顿马丁 迈凯伦 布加迪 帕加尼 柯尼塞格 五菱 宝骏 东风
-一汽 北汽 江淮 海马 众泰 力帆 观致 启辰 思铭 理念
-""".split()
+BRANDS = [
+    "奥迪", "宝马", "奔驰", "大众", "丰田", "本田", "日产", "马自达", "现代", "起亚", "福特", "雪佛兰", "别克", "凯迪拉克", "沃尔沃",
+    "捷豹", "路虎", "保时捷", "特斯拉", "比亚迪", "吉利", "长城", "奇瑞", "长安", "荣威", "名爵", "传祺", "红旗", "领克", "蔚来",
+    "小鹏", "理想", "威马", "零跑", "哪吒", "极氪", "岚图", "高合", "智己", "雷克萨斯", "英菲尼迪", "讴歌", "林肯", "克莱斯勒",
+    "Jeep", "道奇", "菲亚特", "阿尔法罗密欧", "玛莎拉蒂", "法拉利", "兰博基尼", "宾利", "劳斯莱斯", "阿斯顿马丁", "迈凯伦", "布加迪",
+    "帕加尼", "柯尼塞格", "五菱", "宝骏", "东风", "一汽", "北汽", "江淮", "海马", "众泰", "力帆", "观致", "启辰", "思铭", "理念",
+]
 
 UNKNOWN_BRAND = "未知品牌"
 
-# City names, each followed by the codes that stand for it.
-CITIES = """
-北京 beijing bj
-上海 shanghai sh
-广州 guangzhou gz
-深圳 shenzhen sz
-杭州 hangzhou hz
-南京 nanjing nj
-武汉 wuhan wh
-成都 chengdu cd
-西安 xian xa
-重庆 chongqing cq
-天津 tianjin tj
-青岛 qingdao qd
-大连 dalian dl
-苏州 suzhou su
-东莞 dongguan dg
-佛山 foshan fs
-郑州 zhengzhou zz
-长沙 changsha cs
-济南 jinan jn
-合肥 hefei hf
-沈阳 shenyang sy
-长春 changchun cc
-哈尔滨 harbin hrb
-太原 taiyuan ty
-台州 taizhou tz taizhou_zj
-宁波 ningbo nb
-无锡 wuxi wx
-常州 changzhou
-徐州 xuzhou
-烟台 yantai
-潍坊 weifang
-临沂 linyi
-淄博 zibo
-威海 weihai
-东营 dongying
-滨州 binzhou
-德州 dezhou
-聊城 liaocheng
-菏泽 heze
-枣庄 zaozhuang
-济宁 jining
-泰安 taian
-日照 rizhao
-莱芜 laiwu
-淮安 huaian
-盐城 yancheng
-扬州 yangzhou
-镇江 zhenjiang
-宿迁 suqian
-连云港 lianyungang
-绍兴 shaoxing
-嘉兴 jiaxing
-湖州 huzhou
-丽水 lishui
-衢州 quzhou
-舟山 zhoushan
-温州 wenzhou
-昆明 kunming km
-兰州 lanzhou lz
-乌鲁木齐 urumqi
-贵阳 guiyang gy
-南宁 nanning nn
-海口 haikou hk
-石家庄 shijiazhuang sjz
-呼和浩特 hohhot
-"""
-
-CITY_NAMES = {code: name for name, *codes in map(str.split, CITIES.split("\n")[1:-1]) for code in codes}
+# Names of city codes.
+CITY_NAMES = {
+    "beijing": "北京", "bj": "北京", "shanghai": "上海", "sh": "上海", "guangzhou": "广州", "gz": "广州",
+    "shenzhen": "深圳", "sz": "深圳", "hangzhou": "杭州", "hz": "杭州", "nanjing": "南京", "nj": "南京",
+    "wuhan": "武汉", "wh": "武汉", "chengdu": "成都", "cd": "成都", "xian": "西安", "xa": "西安",
+    "chongqing": "重庆", "cq": "重庆", "tianjin": "天津", "tj": "天津", "qingdao": "青岛", "qd": "青岛",
+    "dalian": "大连", "dl": "大连", "suzhou": "苏州", "su": "苏州", "dongguan": "东莞", "dg": "东莞",
+    "foshan": "佛山", "fs": "佛山", "zhengzhou": "郑州", "zz": "郑州", "changsha": "长沙", "cs": "长沙",
+    "jinan": "济南", "jn": "济南", "hefei": "合肥", "hf": "合肥", "shenyang": "沈阳", "sy": "沈阳",
+    "changchun": "长春", "cc": "长春", "harbin": "哈尔滨", "hrb": "哈尔滨", "taiyuan": "太原", "ty": "太原",
+    "taizhou": "台州", "tz": "台州", "taizhou_zj": "台州", "ningbo": "宁波", "nb": "宁波", "wuxi": "无锡",
+    "wx": "无锡", "changzhou": "常州", "xuzhou": "徐州", "yantai": "烟台", "weifang": "潍坊", "linyi": "临沂",
+    "zibo": "淄博", "weihai": "威海", "dongying": "东营", "binzhou": "滨州", "dezhou": "德州",
+    "liaocheng": "聊城", "heze": "菏泽", "zaozhuang": "枣庄", "jining": "济宁", "taian": "泰安",
+    "rizhao": "日照", "laiwu": "莱芜", "huaian": "淮安", "yancheng": "盐城", "yangzhou": "扬州",
+    "zhenjiang": "镇江", "suqian": "宿迁", "lianyungang": "连云港", "shaoxing": "绍兴", "jiaxing": "嘉兴",
+    "huzhou": "湖州", "lishui": "丽水", "quzhou": "衢州", "zhoushan": "舟山", "wenzhou": "温州",
+    "kunming": "昆明", "km": "昆明", "lanzhou": "兰州", "lz": "兰州", "urumqi": "乌鲁木齐", "guiyang": "贵阳",
+    "gy": "贵阳", "nanning": "南宁", "nn": "南宁", "haikou": "海口", "hk": "海口", "shijiazhuang": "石家庄",
+    "sjz": "石家庄", "hohhot": "呼和浩特",
+}
 
 # City codes of a default collection run, in collection order.
-RUN_CITIES = """
-bj sh gz sz
-hz nj wh cd xa cq tj qd dl su
-dg fs zz cs jn hf sy cc hrb nb wx tz
-km lz urumqi gy nn hk sjz taiyuan hohhot changchun
-""".split()
+RUN_CITIES = [
+    "bj", "sh", "gz", "sz", "hz", "nj", "wh", "cd", "xa", "cq", "tj", "qd", "dl", "su", "dg", "fs",
+    "zz", "cs", "jn", "hf", "sy", "cc", "hrb", "nb", "wx", "tz", "km", "lz", "urumqi", "gy", "nn",
+    "hk", "sjz", "taiyuan", "hohhot", "changchun",
+]
 
 # Category path segments of a city, in collection order.
 CATEGORIES = ["", "suv/", "mpv/", "pickup/", "coupe/"]
