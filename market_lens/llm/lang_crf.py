@@ -35,7 +35,7 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 500
 CHARS_PER_DOC = 3000
 LEXICON = 5000
-REMEMBER = 200_000
+REMEMBER = 120_000
 
 
 def words_of(text: str) -> list[str]:

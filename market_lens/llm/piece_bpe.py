@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 #: Words and pairs that a Python worker remembers. A word that is asked for again outlives the next
 #: generation; so frequent words stay when the memory is full.
-REMEMBER = 250_000
+REMEMBER = 150_000
 LONGEST_REMEMBERED = 64
 _MARK = "!"
 
