@@ -199,20 +199,15 @@ class Model:
         return 1 / (1 + np.exp(-np.maximum(np.array(logits, float), -700)))
 
 
-def _marked(docs: DataFrame, labels: DataFrame, id: str, text: str) -> DataFrame:
-    """``doc_id, text, y`` of every row: its label, -1 without one, -2 where it is held out.
-
-    Held-out rows, such as all those without an id, meet no labels, so they make no hot key of the join.
-    """
-    marks = labels.where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    thin = docs.select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
-    free = thin.where(~held_out("doc_id")).join(marks, "doc_id", "left")
-    free = free.select("doc_id", "text", F.coalesce("y", F.lit(-1)).cast("int").alias("y"))
-    return free.union(thin.where(held_out("doc_id")).withColumn("y", F.lit(-2)))
+def _marks(labels: DataFrame) -> DataFrame:
+    """``doc_id, y`` of labelled documents that aren't held out, written: Spark knows whether they are few enough to be sent
+    to the texts."""
+    marks = labels.where(~held_out("doc_id") & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
+    return materialize(marks, "toxic_labels")
 
 
-def _read(marked: DataFrame, wanted: frozenset[int]) -> DataFrame:
-    """``doc_id, key, y, buckets``: which wanted buckets each text has, written once. The key tells documents apart:
+def _read(docs: DataFrame, id: str, text: str, wanted: frozenset[int]) -> DataFrame:
+    """``doc_id, key, buckets``: which wanted buckets each text has, written once. The key tells documents apart:
     an id with a text."""
 
     @F.arrow_udf("binary")
@@ -221,14 +216,15 @@ def _read(marked: DataFrame, wanted: frozenset[int]) -> DataFrame:
         for batch in batches:
             yield pa.array([reader(t).tobytes() for part in pieces(batch) for t in part.to_pylist()], pa.binary())
 
-    found = marked.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), "y", read("text").alias("buckets"))
+    found = docs.select(F.col(id).alias("doc_id"), F.xxhash64(id, text).alias("key"), read(F.col(text)).alias("buckets"))
     return materialize(found, "toxic_columns")
 
 
-def class_counts(marked: DataFrame) -> np.ndarray:
-    """How many labelled documents hold each bucket, by class: two rows of ``BUCKETS`` numbers, whatever the documents.
+def class_counts(docs: DataFrame, marks: DataFrame, id: str = "doc_id", text: str = "text") -> np.ndarray:
+    """How many labelled documents hold each bucket, by class (toxic first): two rows of ``BUCKETS`` numbers, whatever
+    the documents.
 
-    Each task sends its counts in blocks, which are added up block by block.
+    Texts meet their labels here alone. Each task sends its counts in blocks, which are added up block by block.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +249,8 @@ def class_counts(marked: DataFrame) -> np.ndarray:
         return pa.table({"at": rows["at"].slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
 
     kind = "at long, counts binary"
-    known = marked.where("y >= 0").select("text", "y").mapInArrow(count, kind)
+    thin = docs.where(~held_out(id)).select(F.col(id).alias("doc_id"), F.col(text).alias("text"))
+    known = thin.join(marks, "doc_id").select("text", "y").mapInArrow(count, kind)
     out = np.zeros(2 * BUCKETS, np.int64)
     for row in known.groupBy("at").applyInArrow(add, kind).collect():  # at most 2 * BUCKETS numbers
         out[row["at"] : row["at"] + _BLOCK] = np.frombuffer(row["counts"], np.int64)
@@ -276,15 +273,17 @@ def learned(
 ) -> tuple[Model, DataFrame] | None:
     """A model from all documents that aren't held out, and the columns of every text; the bounds hold for the
     classifier's sample alone. None without a toxic document."""
-    marked = _marked(docs, labels, id, text)
-    totals = {r["y"]: r["count"] for r in marked.groupBy("y").count().collect()}
+    marks = _marks(labels)
+    ids = docs.where(~held_out(id)).select(F.col(id).alias("doc_id"))
+    label = F.coalesce("y", F.lit(-1)).alias("y")
+    totals = {r["y"]: r["count"] for r in ids.join(marks, "doc_id", "left").groupBy(label).count().collect()}
     if not totals.get(1):
         return None
     n_toxic, n_other = totals[1], totals.get(0, 0)
-    toxic, other = class_counts(marked)
+    toxic, other = class_counts(docs, marks, id, text)
     voters = np.sort(choose_voters(toxic, other, n_toxic, n_other))
     columns = np.union1d(voters, telling(toxic, other, n_toxic, n_other))
-    read = _read(marked, frozenset(columns.tolist()))
+    read = _read(docs, id, text, frozenset(columns.tolist()))
 
     # All documents vote; equal patterns are one row with a count.
     def patterned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -292,7 +291,7 @@ def learned(
             found = np.packbits(_found(batch.column(0).to_pylist(), voters), axis=1)
             yield pa.RecordBatch.from_arrays([pa.array([row.tobytes() for row in found], pa.binary())], ["pattern"])
 
-    free = read.where("y >= -1")
+    free = read.where(~held_out("doc_id"))
     patterns = free.select("buckets").mapInArrow(patterned, "pattern binary").groupBy("pattern").agg(F.count("*").alias("n"))
     patterns = materialize(patterns, "toxic_votes")
     prior = float(np.clip(n_toxic / max(1, n_toxic + n_other), 0.001, 0.5))
@@ -319,8 +318,9 @@ def learned(
 
     # The classifier's sample, by hash of documents.
     most = F.when(F.col("y") == 1, toxic_rows).when(F.col("y") == 0, other_rows).otherwise(unlabelled_rows)
-    chosen = materialize(sample_by_hash(free.select("key", "y").distinct(), "y", most, "key"), "toxic_drawn")
-    rows = free.join(chosen, ["key", "y"], "left_semi").groupBy("key", "y").agg(F.min("buckets").alias("buckets")).collect()
+    thin = free.select("doc_id", "key").distinct().join(marks, "doc_id", "left").select("key", label).distinct()
+    chosen = materialize(sample_by_hash(thin, "y", most, "key"), "toxic_drawn")
+    rows = free.join(chosen, "key").groupBy("key", "y").agg(F.min("buckets").alias("buckets")).collect()
     rows = sorted(rows, key=lambda r: (r["key"], r["y"]))
     y = np.array([r["y"] for r in rows])
     weight = {k: totals.get(k, 0) / max(1, int((y == k).sum())) for k in (-1, 0, 1)}
