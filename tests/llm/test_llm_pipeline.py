@@ -117,11 +117,11 @@ def test_stages_on_empty_tables(spark, folder):
 
 def test_each_dealt_operator_has_one_query():
     names = contract.queries()
-    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in range(1, 14)] == [1] * 13
     assert "pipeline" in names and {"op2_kd_topk", "op4_decontamination", "op6_warc"} <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", ["op2_kd_topk", "op4_decontamination", "op6_warc"])
+@pytest.mark.parametrize("name", ["op2_kd_topk", "op4_decontamination", "op6_warc", "op11_prefix_trie", "op13_phrases"])
 def test_queries_match_their_sql(spark, sf_dir, name):
     from compare import engine, rows_of
 
@@ -135,6 +135,6 @@ def test_queries_match_their_sql(spark, sf_dir, name):
 def test_queries_without_sql_return_whole_tables(spark, sf_dir):
     queries = contract.queries()
     n = table(spark, sf_dir, "documents").count()
-    for name in ("op1_sentencepiece", "op3_toxicity", "op5_language", "op7_simhash", "op9_chunk_dedup", "op10_quality"):
+    for name in ("op1_sentencepiece", "op3_toxicity", "op5_language", "op7_simhash", "op9_chunk_dedup", "op10_quality", "op12_fertility"):
         assert queries[name](spark, sf_dir).count() == n
     assert np.isin([-7], [r["conv_id"] for r in queries["op8_chat_windows"](spark, sf_dir).collect()]).all()
