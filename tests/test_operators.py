@@ -572,6 +572,25 @@ def test_cards_of_mixed_markup(spark):
     assert all(flat[k] == expected[k] for k in ("flat", "unquoted", "none", "empty", "null"))
 
 
+def test_plain_pages_are_read_by_patterns(spark):
+    """Pages of closed elements, nested ones too, need neither the fold nor the tokenizer; what these read otherwise does."""
+    card = "<div class='list-item'><div><h4>T&amp;1</h4></div><br>&nbsp;x </div>"
+    pages = [
+        (card, True),
+        (f"<ul><li class='cards-li'>{card}</li></ul>", True),
+        ("<div class='list-item'>a<div class='list-item'>b</div></div>", False),
+        ("<ul><li class='cards-li'>a<li>b</ul>", False),
+        ("<p><div class='list-item'>a</div></p>", False),
+        ("<div class='list-item'>1 < 2</div>", False),
+        ("<div class='list-item'>&copy;</div>", False),
+        (None, False),
+    ]
+    df = spark.createDataFrame([(k, html) for k, (html, _) in enumerate(pages)], "k int, html string")
+    clean = H.strip_unseen("html")
+    plain = df.select("k", F.when(B.is_plain("html", clean), B.plain_cards(clean, ["li.cards-li", ".list-item"])).isNotNull().alias("p"))
+    assert {r["k"]: r["p"] for r in plain.collect()} == {k: want for k, (_, want) in enumerate(pages)}
+
+
 def test_paragraphs_rows_and_options_end_by_themselves():
     from market_lens.functions.outline import page_cards
 
