@@ -572,6 +572,21 @@ def test_cards_of_mixed_markup(spark):
     assert all(flat[k] == expected[k] for k in ("flat", "unquoted", "none", "empty", "null"))
 
 
+def test_equal_rows_are_one_cell_of_a_tree(spark):
+    from market_lens.operators import forest as W
+
+    data = spark.createDataFrame([(k, float(k % 3), float(k % 2), float(k)) for k in range(300)], "_id long, _x0 double, _x1 double, _y double")
+    cells = W._cells(data, 4, 42, ["_x0", "_x1"], 0, 10.0).collect()
+    assert len(cells) == 4 * 6
+    drawn: dict = {}
+    for r in W._copies(data, 4, 42, ["_x0", "_x1", "_y"] + ["_id"]).collect():
+        drawn.setdefault((r["_tree"], r["_x0"], r["_x1"]), []).append((r["_w"], r["_y"]))
+    for r in cells:
+        rows = drawn[r["_tree"], r["_x0"], r["_x1"]]
+        assert r["_w"] == sum(w for w, _ in rows) and r["_s0"] == sum(w * (y - 10.0) for w, y in rows)
+        assert (r["_low"], r["_high"]) == (min(y for _, y in rows), max(y for _, y in rows))
+
+
 def test_plain_pages_are_read_by_patterns(spark):
     """Pages of closed elements, nested ones too, need neither the fold nor the tokenizer; what these read otherwise does."""
     card = "<div class='list-item'><div><h4>T&amp;1</h4></div><br>&nbsp;x </div>"
