@@ -624,3 +624,30 @@ def test_null_keys_lose_no_rows(spark):
     cards = [(*p[:3], k) for p in pages for k in range(p[3])]
     taken = C.total_cap(spark.createDataFrame(cards, "city_idx int, cat_idx int, page int, card_ord int"), 9)
     assert taken.count() == 9 and taken.where("city_idx is null").count() == 7
+
+
+@pytest.mark.parametrize("n_classes", [0, 3])
+def test_cells_that_span_batches_draw_what_their_rows_draw(spark, n_classes, monkeypatch):
+    """Rows of equal features come in several slices, and a slice holds several cells."""
+    monkeypatch.setattr(W, "_DRAWN", 37)
+    rows = [(k * 7, float(k % 3) if k < 200 else 5.0, float(k % 3)) for k in range(500)]
+    data = spark.createDataFrame(rows, "_id long, _x0 double, _y double")
+    drawn: dict = {}
+    for r in W._copies(data, 5, 9, ["_id", "_x0", "_y"]).collect():
+        drawn.setdefault((r["_tree"], r["_x0"]), []).append((r["_w"], r["_y"]))
+    hashed = data.select("_id", F.xxhash64(F.lit(9), "_id").alias("_hash")).collect()
+    plain = {(r["_tree"], r["_id"]): r["_w"] for r in W._copies(data, 5, 9, ["_id"]).collect()}
+    fast = W._weights(np.array([r["_hash"] for r in hashed]), 5)
+    assert {(t, r["_id"]): fast[t, k] for k, r in enumerate(hashed) for t in range(5) if fast[t, k]} == plain
+    kept = list(W._drawer(["_x0"], 5, n_classes, 1.0)(_batches(spark, data)))
+    assert sum(b.num_rows for b in kept) == len(drawn)
+    for r in (r for b in kept for r in b.to_pylist()):
+        mine = drawn[r["_tree"], r["_x0"]]
+        sums = [sum(w for w, y in mine if y == k) for k in range(3)] if n_classes else [sum(w * (y - 1.0) for w, y in mine)]
+        assert r["_w"] == sum(w for w, _ in mine) and [r[f"_s{k}"] for k in range(n_classes or 1)] == sums
+        assert (r["_low"], r["_high"]) == (min(y for _, y in mine), max(y for _, y in mine))
+
+
+def _batches(spark, data):
+    rows = data.select("_x0", "_y", F.xxhash64(F.lit(9), "_id").alias("_hash")).orderBy("_x0").toArrow()
+    return iter(rows.to_batches(max_chunksize=101))
