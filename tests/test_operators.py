@@ -651,3 +651,10 @@ def test_cells_that_span_batches_draw_what_their_rows_draw(spark, n_classes, mon
 def _batches(spark, data):
     rows = data.select("_x0", "_y", F.xxhash64(F.lit(9), "_id").alias("_hash")).orderBy("_x0").toArrow()
     return iter(rows.to_batches(max_chunksize=101))
+
+
+def test_written_pieces_grow_in_number(spark, monkeypatch):
+    monkeypatch.setattr(W, "PIECE_ROWS", 50)
+    written = L._written(spark.range(1000), "pieces")
+    sizes = written.groupBy(F.input_file_name()).count().collect()
+    assert len(sizes) == 20 and max(r["count"] for r in sizes) <= 60
