@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from market_lens.llm.common import free_name
+from market_lens.llm.common import free_name, pieces
 from market_lens.sources.scratch import materialize
 
 #: Bytes to either side over which a cut is the highest: chunks are longer than this, about 2 * REACH on average.
@@ -131,7 +131,7 @@ def windows(docs: DataFrame, id: str = "doc_id", text: str = "text", reach: int
                 found.append(_digests(data, cut(data, reach)))
                 owners.append(row)
                 held += len(found[-1])
-                if held > 200_000:
+                if held > 50_000:
                     yield _rows(batch, owners, found)
                     owners, found, held = [], [], 0
             if held:
@@ -210,6 +210,32 @@ def _stretches(marks: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(turns[::2].tolist(), turns[1::2].tolist(), strict=True))
 
 
+def _cleaned(texts: pa.Array, listed: pa.Array, min_words: int, reach: int) -> pa.Array:
+    """The four result columns of texts (bytes) with their places."""
+    shown, n_passages, n_cut, kept_in = [], [], [], []
+    for t, p in zip(texts, listed, strict=True):
+        data, p = t.as_py(), p.as_py()
+        spans, gone, sources = _passages(data, p, min_words, reach) if p else ([], [], set())
+        if gone:
+            edges = [0, *(x for span in gone for x in span), len(data)]
+            data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
+        shown.append(data)
+        n_passages.append(len(spans))
+        n_cut.append(len(gone))
+        kept_in.append(sorted(sources))
+    columns = [pa.array(shown, pa.binary()).cast(pa.string()), pa.array(n_passages, pa.int32()), pa.array(n_cut, pa.int32())]
+    return pa.StructArray.from_arrays([*columns, pa.array(kept_in, pa.list_(pa.int64()))], ["clean_text", "n_passages", "n_cut", "kept_in"])
+
+
+def _in_pieces(texts: pa.Array, listed: pa.Array, min_words: int, reach: int) -> pa.Array:
+    """``_cleaned``, a few megabytes of texts at a time: a batch holds thousands of texts."""
+    done, at = [_cleaned(texts.slice(0, 0), listed.slice(0, 0), min_words, reach)], 0
+    for part in pieces(texts):
+        done.append(_cleaned(part, listed.slice(at, len(part)), min_words, reach))
+        at += len(part)
+    return pa.concat_arrays(done)
+
+
 def cleaned(
     docs: DataFrame, id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS, reach: int = REACH
 ) -> DataFrame:
@@ -230,17 +256,7 @@ def cleaned(
 
     @F.arrow_udf("struct<clean_text string, n_passages int, n_cut int, kept_in array<long>>")
     def clean(texts: pa.Array, listed: pa.Array) -> pa.Array:
-        out = []
-        for t, p in zip(texts, listed, strict=True):
-            data, p = t.as_py(), p.as_py()
-            spans, gone, sources = _passages(data, p, min_words, reach) if p else ([], [], set())
-            if gone:
-                edges = [0, *(x for span in gone for x in span), len(data)]
-                data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True))
-            shown = None if data is None else data.decode()
-            out.append({"clean_text": shown, "n_passages": len(spans), "n_cut": len(gone), "kept_in": sorted(sources)})
-        kind = pa.struct([("clean_text", pa.string()), ("n_passages", pa.int32()), ("n_cut", pa.int32()), ("kept_in", pa.list_(pa.int64()))])
-        return pa.array(out, kind)
+        return _in_pieces(texts, listed, min_words, reach)
 
     result = free_name(joined, "result")
     touched = joined.withColumn(result, clean(F.col(text).cast("binary"), F.col(places)))

@@ -35,7 +35,7 @@ UNKNOWN = "und"
 DOCS_PER_LANGUAGE = 500
 CHARS_PER_DOC = 3000
 LEXICON = 5000
-REMEMBER = 120_000
+REMEMBER = 90_000
 
 
 def words_of(text: str) -> list[str]:
@@ -75,11 +75,11 @@ class Model:
 
     def emissions(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.labels)))
-        for at in range(0, len(words), 1 << 14):
-            buckets = [features(w, self.lexicon) for w in words[at : at + (1 << 14)]]
+        for at in range(0, len(words), 1 << 12):
+            buckets = [features(w, self.lexicon) for w in words[at : at + (1 << 12)]]
             starts = np.cumsum([0, *map(len, buckets)])[:-1]
             flat = np.fromiter(chain.from_iterable(buckets), np.int64)
-            out[at : at + (1 << 14)] = np.add.reduceat(self.weights[flat], starts, axis=0)
+            out[at : at + (1 << 12)] = np.add.reduceat(self.weights[flat], starts, axis=0)
         return out
 
 

@@ -6,6 +6,7 @@ import random
 import brute
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -315,3 +316,20 @@ def test_held_out_is_crc32_of_the_id_as_text(spark):
     got = spark.range(-50, 50).select("id", held_out("id").alias("h")).collect()
     assert all(r["h"] == (zlib.crc32(str(r["id"]).encode()) % 5 == 0) for r in got)
     assert spark.range(1).select(held_out(F.lit(None).cast("long"))).first()[0] is True
+
+
+def test_a_batch_of_texts_is_cleaned_in_pieces(monkeypatch):
+    plain, sizes = chunk_dedup._cleaned, []
+
+    def watched(texts, listed, *bounds):
+        sizes.append(sum(len(t.as_py() or b"") for t in texts))
+        return plain(texts, listed, *bounds)
+
+    monkeypatch.setattr(chunk_dedup, "_cleaned", watched)
+    texts = pa.array([None, b"", *(b"word%d " % k * 20_000 for k in range(100))], pa.binary())
+    kind = pa.list_(pa.struct([("place", pa.int32()), ("extra", pa.bool_()), ("first_id", pa.int64())]))
+    places = [None, None, *([{"place": 0, "extra": True, "first_id": 7}] if k % 2 else None for k in range(100))]
+    got = chunk_dedup._in_pieces(texts, pa.array(places, kind), 1, chunk_dedup.REACH).to_pylist()
+    assert max(sizes) <= (1 << 22) and len(got) == 102 and got[0]["clean_text"] is None and got[1]["clean_text"] == ""
+    assert [r["kept_in"] for r in got[2:]] == [[7] if k % 2 else [] for k in range(100)]
+    assert got == plain(texts, pa.array(places, kind), 1, chunk_dedup.REACH).to_pylist()
