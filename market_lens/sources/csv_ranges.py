@@ -3,6 +3,7 @@
 Lines are read by byte ranges. A line break ends a record if the quotes before it in the file are
 even in number: each range counts its quotes, and the counts of the ranges before it say
 how its first line stands. Only the lines of records that span several are brought together.
+A file in which every line has an even number of quotes has a record in every line: its lines are neither shuffled nor written.
 """
 
 from __future__ import annotations
@@ -41,6 +42,32 @@ def records(spark: SparkSession, path: str | list[str], quote: str = '"') -> Dat
     closed makes the rest of its file one record.
     """
     lines = _lines(spark, path, quote)
+    head = F.min_by("line", "_id")
+    ranges = lines.groupBy(*_PLACE).agg(F.count_if(F.col("_quotes") % 2 != 0).alias("_odd"), head.alias("_head"))
+    files = ranges.groupBy("_file").agg(F.sum("_odd").alias("_odd"), F.min_by("_head", "_range").alias("_head"))
+    files = materialize(files, "csv_files")
+    flat = _line_records(lines, files.where("_odd = 0").drop("_odd"))
+    broken = files.where("_odd > 0").select(F.col("_file").alias("_name"))
+    if broken.isEmpty():
+        return flat
+    return flat.unionByName(_joined_records(lines.join(broken, F.col("_file") == F.col("_name"), "left_semi")))
+
+
+def _line_records(lines: DataFrame, heads: DataFrame) -> DataFrame:
+    """``records`` of files with a record in every line. ``heads`` tells their first lines.
+
+    Lines equal to the first one are counted: one of them is the first record, the others are records like any.
+    """
+    joined = lines.join(heads, "_file")
+    other = joined.where("line <> _head").select("_file", F.lit(False).alias("first"), F.col("line").alias("record"))
+    same = joined.where("line = _head").groupBy("_file", "_head").agg(F.count(F.lit(1)).alias("_n"))
+    marks = F.transform(F.sequence(F.lit(1).cast("bigint"), "_n"), lambda k: k == 1)
+    alike = same.select("_file", F.explode(marks).alias("first"), F.col("_head").alias("record"))
+    return other.unionByName(alike).where("record <> ''")
+
+
+def _joined_records(lines: DataFrame) -> DataFrame:
+    """``records`` of files with line breaks in cells."""
     totals = lines.groupBy(*_PLACE).agg(F.sum("_quotes").alias("_sum"))
     before = Window.partitionBy("_file").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # a row for each range
     starts = totals.select(*_PLACE, F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))

@@ -1,6 +1,7 @@
 """One case per rule that is easy to get wrong; the expected values are the rule's own."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import types as T
@@ -287,3 +288,16 @@ def test_plain_numbers(spark, text, value):
 def test_attributes_without_quotes(spark):
     assert one(spark, lambda c: H.attribute(c, "[carname]"), "<li class=x carname=奥迪 id=1>") == "奥迪"
     assert one(spark, lambda c: H.blocks(c, "li.cards-li"), "<LI class=cards-li>a</li><li class=cards-lix>b</li>") == ["a"]
+
+
+def test_the_jvm_compiles_every_step_of_a_card(spark, sf_dir, capsys):
+    from market_lens.plans.fixtures import view
+
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        K.parse_listing(view(spark, sf_dir, "all_text"), ["listing_key"]).explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) <= 8000  # larger methods are interpreted, row by row
