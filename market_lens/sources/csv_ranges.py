@@ -58,7 +58,7 @@ def _line_records(lines: DataFrame, heads: DataFrame) -> DataFrame:
 
     Lines equal to the first one are counted: one of them is the first record, the others are records like any.
     """
-    joined = lines.join(heads, "_file")
+    joined = lines.join(F.broadcast(heads), "_file")  # a row for each file, like Spark's own list of them
     other = joined.where("line <> _head").select("_file", F.lit(False).alias("first"), F.col("line").alias("record"))
     same = joined.where("line = _head").groupBy("_file", "_head").agg(F.count(F.lit(1)).alias("_n"))
     marks = F.transform(F.sequence(F.lit(1).cast("bigint"), "_n"), lambda k: k == 1)

@@ -192,3 +192,16 @@ def test_a_batch_reads_its_own_buckets_of_addresses(spark, tmp_path):
     I.ingest_incremental(spark, source, out, str(tmp_path / "two"), texts).awaitTermination()
     landed = read_pages(spark, I.pages_path(out))
     assert landed.count() == 501 and landed.where("url = 'new'").first()["page_id"] == 901
+
+
+def test_files_without_line_breaks_in_cells_are_not_written_again(spark, tmp_path):
+    """Some rows are like the header; an empty line and a last line without an end are in between."""
+    for k in range(2):
+        (tmp_path / f"f{k}.csv").write_text('key,"a ""b"""\n1,"x, y"\n\nkey,"a ""b"""\n2,\nkey,"a ""b"""', newline="\r\n" if k else "\n")
+    found = R.records(spark, str(tmp_path))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "csv_lines" not in plan and "Window" not in plan
+    header = 'key,"a ""b"""'
+    want = [(True, header), (False, header), (False, header), (False, '1,"x, y"'), (False, "2,")] * 2
+    assert sorted((r["first"], r["record"]) for r in found.collect()) == sorted(want)
+    assert R.read_csv(spark, str(tmp_path), {"quote": '"', "escape": '"'}).columns == ["key", 'a "b"']
