@@ -19,18 +19,27 @@ def _null_counts(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"), *nulls)
 
 
+def null_cells(df: DataFrame) -> Column:
+    """Cells of a row without a value."""
+    return sum((F.col(f"`{c}`").isNull().cast("int") for c in df.columns), F.lit(0))
+
+
+def completeness_pct(cells: Column, nulls: Column) -> Column:
+    return F.try_divide(cells - nulls, cells) * 100
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One row: rows, columns, numeric and text columns, null cells, completeness percent."""
     kinds = [f.dataType for f in df.schema.fields]
-    null_cells = sum((F.col(f"_null{i}") for i in range(1, len(kinds))), F.col("_null0"))
+    nulls = sum((F.col(f"_null{i}") for i in range(1, len(kinds))), F.col("_null0"))
     cells = F.col("n_rows") * len(kinds)
     return _null_counts(df).select(
         "n_rows",
         F.lit(len(kinds)).cast("bigint").alias("n_columns"),
         F.lit(sum(map(is_numeric, kinds))).cast("bigint").alias("n_numeric"),
         F.lit(sum(isinstance(k, T.StringType) for k in kinds)).cast("bigint").alias("n_text"),
-        null_cells.alias("null_cells"),
-        (F.try_divide(cells - null_cells, cells) * 100).alias("completeness_pct"),
+        nulls.alias("null_cells"),
+        completeness_pct(cells, nulls).alias("completeness_pct"),
     )
 
 

@@ -658,3 +658,20 @@ def test_written_pieces_grow_in_number(spark, monkeypatch):
     written = L._written(spark.range(1000), "pieces")
     sizes = written.groupBy(F.input_file_name()).count().collect()
     assert len(sizes) == 20 and max(r["count"] for r in sizes) <= 60
+
+
+@pytest.mark.parametrize("report", [reports.quick_stats, reports.overview, reports.crawl_stats])
+def test_a_report_makes_its_table_once(spark, report):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def price(k):
+        made.add(1)
+        return float(k)
+
+    rows = spark.range(20).select(
+        F.lit("奥迪").alias("brand"), F.lit("汽油").alias("fuel_type"), price("id").alias("price_wan"), F.lit(2019).alias("model_year"),
+        F.lit("x").alias("source"), F.lit(None).cast("string").alias("city"),
+    )
+    report(rows).collect()
+    assert made.value == 20
