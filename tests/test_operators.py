@@ -675,3 +675,38 @@ def test_a_report_makes_its_table_once(spark, report):
     )
     report(rows).collect()
     assert made.value == 20
+
+
+def test_plain_tags_are_read_as_the_tokenizer_reads_them():
+    """Without the standard tokenizer's own reading of a tag, and as it reads it."""
+    from html.parser import HTMLParser
+
+    from market_lens.functions import outline as O
+
+    class Slow(O.Outline):
+        parse_starttag, parse_endtag, updatepos = HTMLParser.parse_starttag, HTMLParser.parse_endtag, HTMLParser.updatepos
+
+    rng = random.Random(3)
+    pieces = [
+        "<LI class='a b'>", "<li  class=\"a>b\" X='y'>", "<li class=a>", "<p a=\"&lt;\">", "<p a='' a=\"2\">", "<br/>", "<br>", "<b\n>", "<b c>",
+        "</LI>", "</li >", "</p x>", "</>", "<script>", "</script>", "<style a='b'>", "</b></style>", "<!-- <li> -->", "x &amp; y", "<", "&", "<title>",
+        "<a1 b-c='d'>", "<a:b c='d'>", "<a b='c'd='e'>", "<a b='\u00a0'>", "</a1>", "<template>", "</template>", "<i", "</i",
+    ]
+    for _ in range(3000):
+        page, found = "".join(rng.choices(pieces, k=rng.randint(1, 12))), []
+        for kind in (O.Outline, Slow):
+            tree = kind()
+            tree.feed(page)
+            tree.close()
+            found.append((tree.elements, tree.texts))
+        assert found[0] == found[1], page
+
+
+def test_the_tokenizer_reads_plain_tags_once(monkeypatch):
+    from html.parser import HTMLParser
+
+    from market_lens.functions.outline import page_cards
+
+    monkeypatch.setattr(HTMLParser, "parse_starttag", Mock(side_effect=AssertionError))
+    page = "<ul>" + "".join(f"<li class='list-item'><h4>t{k}</h4> x</li>" for k in range(3)) + "</ul>"
+    assert [(c["title"], c["text"]) for c in page_cards(page, [".list-item"], ["[carname]", "h4"])] == [(f"t{k}", f"t{k}x") for k in range(3)]
