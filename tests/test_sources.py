@@ -205,3 +205,57 @@ def test_files_without_line_breaks_in_cells_are_not_written_again(spark, tmp_pat
     want = [(True, header), (False, header), (False, header), (False, '1,"x, y"'), (False, "2,")] * 2
     assert sorted((r["first"], r["record"]) for r in found.collect()) == sorted(want)
     assert R.read_csv(spark, str(tmp_path), {"quote": '"', "escape": '"'}).columns == ["key", 'a "b"']
+
+
+def _shuffle_files(spark) -> int:
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).getName().startswith("shuffle_") for i in range(files.length()))
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    before = _shuffle_files(spark)
+    found = scratch.materialize(spark.range(1000).repartition(7, "id").groupBy(F.col("id") % 10).count().repartition(3), "counts")
+    assert found.count() == 10
+    assert _shuffle_files(spark) <= before
+    with scratch.for_a_while(found, "again") as again:
+        place = again.inputFiles()[0].removeprefix("file:")
+        assert again.count() == 10 and os.path.exists(place)
+    assert not os.path.exists(place) and found.count() == 10
+
+
+def test_pages_of_many_blocks_are_told_by_their_place(spark, tmp_path):
+    """Files of more rows than a block of marks; half of the second run's addresses landed before, some come twice."""
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    texts = lambda df: df.select("page_id", "url")
+
+    def drop(ids, files: int) -> None:
+        url = F.when(F.col("id") % 1000 != 7, F.concat(F.lit("u"), F.col("id")))
+        rows = spark.range(*ids).select(F.col("id").alias("page_id"), url.alias("url"), F.lit("x").alias("html"))
+        rows.union(rows.where("page_id % 97 = 3").withColumn("html", F.lit("w"))).coalesce(files).write.mode("append").parquet(source)
+        I.ingest_incremental(spark, source, out, state, texts).awaitTermination()
+
+    drop((0, 10_000), 1)
+    drop((5_000, 15_000), 2)
+    landed = read_pages(spark, I.pages_path(out)).collect()
+    expected = {f"u{k}": "w" if k % 97 == 3 else "x" for k in range(15_000) if k % 1000 != 7}
+    assert {r["url"]: r["html"] for r in landed if r["url"]} == expected
+    assert sum(r["url"] is not None for r in landed) == len(expected)
+    times = lambda lo, hi: [k for k in range(lo, hi) if k % 1000 == 7 for _ in range(1 + (k % 97 == 3))]
+    assert sorted(r["page_id"] for r in landed if not r["url"]) == sorted(times(0, 10_000) + times(5_000, 15_000))
+
+
+def test_a_run_shuffles_no_page(spark, tmp_path, monkeypatch):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    rows = spark.range(400).select(F.col("id").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.lit("x").alias("html"))
+    plans, one_of_each = [], I._one_of_each
+
+    def watched(*args):
+        plans.append(one_of_each(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(I, "_one_of_each", watched)
+    for low in (0, 100):
+        rows.where(F.col("page_id").between(low, low + 299)).write.mode("append").parquet(source)
+        I.ingest_incremental(spark, source, out, state, lambda df: df.select("page_id")).awaitTermination()
+    assert read_pages(spark, I.pages_path(out)).count() == 400 and len(plans) == 2
+    assert not any("hashpartitioning" in p._jdf.queryExecution().executedPlan().toString() for p in plans)
