@@ -710,3 +710,47 @@ def test_the_tokenizer_reads_plain_tags_once(monkeypatch):
     monkeypatch.setattr(HTMLParser, "parse_starttag", Mock(side_effect=AssertionError))
     page = "<ul>" + "".join(f"<li class='list-item'><h4>t{k}</h4> x</li>" for k in range(3)) + "</ul>"
     assert [(c["title"], c["text"]) for c in page_cards(page, [".list-item"], ["[carname]", "h4"])] == [(f"t{k}", f"t{k}x") for k in range(3)]
+
+
+def test_the_report_reads_the_tables_once(spark, sf_dir, monkeypatch):
+    from market_lens.plans import model_queries as Q
+
+    read = []
+
+    def seen(df, *args, **kwargs):
+        read.append(df.inputFiles())
+        raise ValueError("not fitted here")
+
+    for name in ("train_price", "train_tier"):
+        monkeypatch.setattr(Q.L, name, seen)
+    monkeypatch.setattr(Q, "_FITTED", {})
+    monkeypatch.setattr(Q.L, "cluster", seen)
+    assert {r["status"] for r in Q.rep_models(spark, sf_dir).collect()} == {"failed"}
+    assert len(read) == 3 and read[0] == read[1] == read[2]
+    assert not any("lineitem" in name for files in read for name in files)
+
+
+def test_draws_at_the_limits_of_their_chances():
+    import numpy as np
+
+    from market_lens.operators import forest
+
+    limits = forest._LIMITS
+    near = np.concatenate([limits[:-1] - np.uint64(1), limits[:-1], limits[:-1] + np.uint64(1)])
+    uniform = near.astype(np.float64) / float(1 << 53)
+    assert (np.searchsorted(limits, near, side="right") == np.searchsorted(forest._SHARES, uniform, side="right")).all()
+    hashes = np.random.default_rng(1).integers(-(2**63), 2**63 - 1, 50_000)
+    found = forest._weights(hashes, 23)
+    assert found.max() >= 6 and abs(found.mean() - 1) < 0.01 and abs((found == 0).mean() - np.exp(-1)) < 0.01
+
+
+def test_ranges_of_classes_are_those_of_the_drawn_targets():
+    import numpy as np
+
+    from market_lens.operators import forest
+
+    rng = np.random.default_rng(2)
+    y, w, starts = rng.integers(0, 3, 200).astype(float), rng.integers(0, 2, (7, 200)), np.arange(0, 200, 4)
+    counts = [np.add.reduceat(w * (y == k), starts, axis=1).astype(float) for k in range(3)]
+    by_counts, by_targets = forest._ranges(y, w, starts, counts), forest._ranges(y, w, starts, [])
+    assert all((a == b).all() for a, b in zip(by_counts, by_targets))
