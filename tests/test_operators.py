@@ -712,13 +712,14 @@ def test_the_tokenizer_reads_plain_tags_once(monkeypatch):
     assert [(c["title"], c["text"]) for c in page_cards(page, [".list-item"], ["[carname]", "h4"])] == [(f"t{k}", f"t{k}x") for k in range(3)]
 
 
-def test_the_report_reads_the_tables_once(spark, sf_dir, monkeypatch):
+def test_the_report_counts_in_a_written_table(spark, sf_dir, monkeypatch):
     from market_lens.plans import model_queries as Q
 
     read = []
 
-    def seen(df, *args, **kwargs):
-        read.append(df.inputFiles())
+    def seen(df, *args, stats=None, **kwargs):
+        read.append((df.inputFiles(), stats.inputFiles()))
+        assert df.count() == stats.count()
         raise ValueError("not fitted here")
 
     for name in ("train_price", "train_tier"):
@@ -726,8 +727,8 @@ def test_the_report_reads_the_tables_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(Q, "_FITTED", {})
     monkeypatch.setattr(Q.L, "cluster", seen)
     assert {r["status"] for r in Q.rep_models(spark, sf_dir).collect()} == {"failed"}
-    assert len(read) == 3 and read[0] == read[1] == read[2]
-    assert not any("lineitem" in name for files in read for name in files)
+    assert len(read) == 3 and all(any("lineitem" in name for name in files) for files, _ in read)
+    assert len({tuple(stats) for _, stats in read}) == 1 and not any("lineitem" in name for _, stats in read for name in stats)
 
 
 def test_draws_at_the_limits_of_their_chances():
